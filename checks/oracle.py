@@ -1,5 +1,5 @@
 """All checking SQL by query key."""
 
-from checks import business
+from checks import business, cleaning, featuresql
 
-SQL: dict[str, str] = {**business.SQL}
+SQL: dict[str, str] = {**business.SQL, **cleaning.SQL, **featuresql.SQL}

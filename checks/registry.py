@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import audience, engagement, revenue, risk, support
+from checks.cleaning import MESSY, WITH_CUSTOMER
+from tidemark.operators import audience, engagement, features, quality, revenue, risk, support
+from tidemark.functions.intervals import anchored
 from tidemark.plans import views
+from tidemark.session import settle
 from tidemark.sources.bindings import Bound
 
 Query = Callable[[Bound], DataFrame]
@@ -65,4 +69,106 @@ BUSINESS: dict[str, Query] = {
                                                       t["viewing_activity"], t["payments"], t["support_tickets"]),
 }
 
-QUERIES: dict[str, Query] = {**BUSINESS}
+
+def _messy(t: Bound, name: str) -> DataFrame:
+    return t.spark.sql(MESSY[name], **{used: t[used] for used in re.findall(r"\{(\w+)\}", MESSY[name])})
+
+
+def _known_ages(t: Bound) -> DataFrame:
+    named = quality.canonical(_messy(t, "messy_customers"), "country", quality.COUNTRY_SPELLINGS).fillna({"country": "Unknown"})
+    return quality.valid_range(named, "age", 13, 100)
+
+
+def _resolved(t: Bound) -> DataFrame:
+    return quality.resolve_payments(t["payments"], t["subscriptions"])
+
+
+def _tails(t: Bound) -> DataFrame:
+    both = quality.upper_tail(t["viewing_activity"], ["watch_duration_minutes"]).unionByName(
+        quality.upper_tail(t["payments"], ["amount"]))
+    return both.withColumn("value", F.round("value", 6))
+
+
+def _completion(t: Bound) -> DataFrame:
+    filled = quality.impute_median(t["viewing_activity"].select("viewing_id", "content_id", "completion_percentage"),
+                                   "completion_percentage", "content_id")
+    return filled.select("viewing_id", F.round("completion_percentage", 6).alias("completion_percentage"))
+
+
+CLEANING: dict[str, Query] = {
+    "c01_keep_first": lambda t: quality.keep_first(t["dup_docs"], "text", "doc_id").select("doc_id", "text", "lang"),
+    "c01_duplicates_removed": lambda t: quality.duplicates_removed(t["dup_docs"], "text"),
+    "c02_country": lambda t: quality.canonical(_messy(t, "messy_customers"), "country", quality.COUNTRY_SPELLINGS).select(
+        "customer_id", "country"),
+    "c03_device": lambda t: quality.canonical(t["viewing_activity"], "device_type", quality.DEVICE_SPELLINGS, quality.UNKNOWN).select(
+        "viewing_id", "device_type"),
+    "c04_fill_unknown": lambda t: _messy(t, "messy_customers").select("customer_id", "country").fillna({"country": quality.UNKNOWN}),
+    "c05_valid_age": lambda t: quality.valid_range(_messy(t, "messy_customers"), "age", 13, 100).select("customer_id", "age"),
+    "c05_invalid_ages": lambda t: quality.out_of_range(_messy(t, "messy_customers"), "age", 13, 100),
+    "c06_impute_age": lambda t: quality.impute_median(_known_ages(t), "age", "country", whole_numbers=True).select(
+        "customer_id", "country", "age"),
+    "c07_impute_completion": _completion,
+    "c08_impute_language": lambda t: quality.impute_mode(_messy(t, "messy_customers"), "preferred_language").select(
+        "customer_id", "preferred_language"),
+    "c09_parse_dates": lambda t: quality.parse_dates(_messy(t, "messy_tickets"), ["ticket_date"]),
+    "c09_bad_dates": lambda t: quality.bad_dates(_messy(t, "messy_tickets"), "ticket_date"),
+    "c10_upper_tail": _tails,
+    "c11_sentiment_audit": lambda t: quality.sentiment_audit(t["customer_feedback"]).select(
+        "feedback_id", "rating", "sentiment_label", "rating_sentiment", "disagrees"),
+    "c12_price_mismatches": lambda t: quality.price_mismatches(t["subscriptions"], t["subscription_plans"]),
+    "c13_asof_resolve": lambda t: _resolved(t).select("payment_id", "customer_id", "payment_date", "subscription_id", "resolution"),
+    "c14_resolution_counts": lambda t: _resolved(t).groupBy("resolution").agg(F.count(F.lit(1)).alias("payments")),
+    "c15_orphans": lambda t: quality.orphan_counts(
+        {"customers": t["customers"], **{name: t[name] for name in WITH_CUSTOMER}, "messy_facts": _messy(t, "messy_facts")}),
+    "c16_row_counts": lambda t: quality.row_counts(t.tables()),
+    "c17_rule_violations": lambda t: quality.rule_violations(t.tables()),
+    "c18_after_cancellation": lambda t: _resolved(t).where("after_cancellation").select(
+        "payment_id", "subscription_id", "after_cancellation"),
+}
+
+
+def _end(t: Bound):
+    return features.data_end(t["viewing_activity"], t["payments"], t["support_tickets"], t["customer_feedback"])
+
+
+def _anchors(t: Bound) -> DataFrame:
+    return features.anchors(t["churn_labels"], _end(t))
+
+
+def _at(t: Bound) -> DataFrame:
+    return _anchors(t).select("customer_id", "anchor_date")
+
+
+_PUBLISHED: dict[tuple[str, str], DataFrame] = {}
+
+
+def feature_table(t: Bound) -> DataFrame:
+    """The published feature table of this session and folder: later jobs read what was written once."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _PUBLISHED:
+        _PUBLISHED[key] = settle(features.customer_features(t.tables()), "customer-features")
+    return _PUBLISHED[key]
+
+
+FEATURES: dict[str, Query] = {
+    "f01_data_end": lambda t: t.spark.range(1).select(_end(t).alias("data_end")),
+    "f02_anchors": _anchors,
+    "f03_event_window": lambda t: anchored(t["support_tickets"], _at(t), "ticket_date", 90).select(
+        "ticket_id", "customer_id", "anchor_date", "days_before_anchor"),
+    "f04_attach_default": lambda t: features.attach(
+        t["customers"].select("customer_id"),
+        t["support_tickets"].groupBy("customer_id").agg(F.count("ticket_id").alias("tickets")), {"tickets": 0}),
+    "f10_tenure": lambda t: features.tenure(t["customers"].join(_anchors(t), "customer_id")).select(
+        "customer_id", "customer_tenure_days"),
+    "f11_f13_subscription_state": lambda t: features.subscription_state(
+        _at(t), _at(t), t["subscriptions"], t["subscription_plans"]).drop("anchor_date"),
+    "f14_f25_viewing": lambda t: features.viewing_features(_at(t), _at(t), t["viewing_activity"], t["content"]).drop("anchor_date"),
+    "f26_f30_payments": lambda t: features.payment_features(_at(t), _at(t), t["payments"]).drop("anchor_date"),
+    "f31_f35_support": lambda t: features.support_features(_at(t), _at(t), t["support_tickets"]).drop("anchor_date"),
+    "f36_f38_feedback": lambda t: features.feedback_features(_at(t), _at(t), t["customer_feedback"]).drop("anchor_date"),
+    "f39_f41_scores": lambda t: feature_table(t).select(
+        "customer_id", "engagement_score", "billing_risk_score", "support_friction_score"),
+    "f42_feature_table": feature_table,
+}
+
+QUERIES: dict[str, Query] = {**BUSINESS, **CLEANING, **FEATURES}
