@@ -64,8 +64,8 @@ def cut_cells(df: DataFrame, group: Sequence[str], order: Sequence[str], cells:
     if not large:
         return Cells(whole, None)
     in_large = [row for row in sample if tuple(row[g] for g in group) in large]
-    numbered = df.sparkSession.createDataFrame(in_large, df.select(*keys).schema)
-    ordered = numbered.orderBy(*keys).collect()  # a few thousand sampled keys, sorted by Spark's own order
+    listed = F.sort_array(F.array(*[_key_literal(df, row, keys) for row in in_large]))
+    ordered = df.sparkSession.range(1).select(listed.alias("k")).first()["k"]  # sampled keys in Spark's own order
     bounds = F.array(*[_key_literal(df, row, keys) for row in ordered[rows_per_cell - 1 :: rows_per_cell]])
     this_row = F.struct(*[F.col(k) for k in keys])
     number = F.size(F.filter(bounds, lambda bound: bound < this_row))

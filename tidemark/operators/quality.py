@@ -69,8 +69,8 @@ def _title(c: Column) -> Column:
 
 def canonical(df: DataFrame, column: str, spellings: Mapping[str, Sequence[str]], missing: str | None = None) -> DataFrame:
     """Accepted spelling, else Title Case; NULL becomes ``missing``."""
-    pairs = [(alias, name) for name, aliases in spellings.items() for alias in aliases]
-    accepted = df.sparkSession.createDataFrame(pairs, "_alias string, _name string")
+    pairs = [F.lit(text) for name, aliases in spellings.items() for alias in aliases for text in (alias, name)]
+    accepted = df.sparkSession.range(1).select(F.explode(F.create_map(*pairs)).alias("_alias", "_name"))  # fixed list
     tidy = _stripped(F.col(column))
     found = df.withColumn("_key", F.lower(tidy)).join(F.broadcast(accepted), F.col("_key") == F.col("_alias"), "left")
     value = F.coalesce("_name", _title(tidy))
