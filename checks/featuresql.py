@@ -2,8 +2,8 @@
 
 from checks.sqltext import CTES, day, half_even, num, sql
 
-CTES["data_end"] = """SELECT greatest((SELECT MAX(viewing_date) FROM viewing_activity),(SELECT MAX(payment_date) FROM payments),
- (SELECT MAX(ticket_date) FROM support_tickets),(SELECT MAX(feedback_date) FROM customer_feedback)) de"""
+CTES["data_end"] = """SELECT MAX(x) de FROM (SELECT MAX(viewing_date) x FROM viewing_activity UNION ALL SELECT MAX(payment_date) FROM payments
+ UNION ALL SELECT MAX(ticket_date) FROM support_tickets UNION ALL SELECT MAX(feedback_date) FROM customer_feedback)"""
 CTES["anchors"] = """SELECT customer_id, churned, churn_date, churn_reason,
  COALESCE(CASE WHEN churned THEN churn_date END, de) anchor_date FROM churn_labels, data_end"""
 for _short, _table, _date in (("ev", "viewing_activity", "viewing_date"), ("ep", "payments", "payment_date"),

@@ -1,5 +1,5 @@
 """All checking SQL by query key."""
 
-from checks import business, cleaning, featuresql
+from checks import business, cleaning, featuresql, modelsql
 
-SQL: dict[str, str] = {**business.SQL, **cleaning.SQL, **featuresql.SQL}
+SQL: dict[str, str] = {**business.SQL, **cleaning.SQL, **featuresql.SQL, **modelsql.SQL}

@@ -5,14 +5,17 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks.cleaning import MESSY, WITH_CUSTOMER
-from tidemark.operators import audience, engagement, features, quality, revenue, risk, support
+from checks.modelsql import AT, CORRELATED, P06_WEIGHTS
+from tidemark.operators import (audience, churn, clv, engagement, evaluation, explain, explore, features, modelling,
+                                policy, quality, reports, retrieval, revenue, risk, rootcause, segments, support)
 from tidemark.functions.intervals import anchored
-from tidemark.plans import views
-from tidemark.session import settle
+from tidemark.plans import batch, views
+from tidemark.session import new_path, settle
+from tidemark.sources import catalog, files, guarded
 from tidemark.sources.bindings import Bound
 
 Query = Callable[[Bound], DataFrame]
@@ -171,4 +174,419 @@ FEATURES: dict[str, Query] = {
     "f42_feature_table": feature_table,
 }
 
-QUERIES: dict[str, Query] = {**BUSINESS, **CLEANING, **FEATURES}
+
+def _anchor(t: Bound):
+    return reports.report_anchor(t["payments"], t["viewing_activity"], t["churn_labels"])
+
+
+FACTS: dict[str, Query] = {
+    "r01_churn": lambda t: rootcause.churn_fact(t["churn_labels"], t["customers"], at=AT),
+    "r02_engagement": lambda t: rootcause.engagement_fact(t["viewing_activity"], t["customers"], at=AT),
+    "r03_payments": lambda t: rootcause.payment_fact(t["payments"], t["customers"], at=AT),
+    "r04_support": lambda t: rootcause.support_fact(t["support_tickets"], t["customers"], at=AT),
+    "r05_plan_mix": lambda t: rootcause.plan_mix(t["subscriptions"], t["customers"], t["subscription_plans"], AT),
+    "r05_plan_mix_by_month": lambda t: rootcause.plan_mix_by_month(t["subscriptions"], t["customers"], t["subscription_plans"]),
+    "r06_fact_packs": rootcause.fact_packs,
+    "r07_anchor": lambda t: t.spark.range(1).select(_anchor(t).alias("anchor")),
+    "r08_revenue": lambda t: reports.revenue(t["payments"], _anchor(t)),
+    "r09_churned": lambda t: reports.churned(t["churn_labels"], _anchor(t)),
+    "r10_new_customers": lambda t: reports.new_customers(t["customers"], _anchor(t)),
+    "r11_active_viewers": lambda t: reports.active_viewers(t["viewing_activity"], _anchor(t)),
+    "r12_csat": lambda t: reports.csat(t["support_tickets"], _anchor(t)),
+    "r13_top_complaints": lambda t: reports.top_complaints(t["support_tickets"], _anchor(t)),
+    "r14_report_text": lambda t: reports.render(reports.report_facts(t)),
+}
+
+
+def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+# A short training run: the same jobs as the full settings with fewer trees and rounds.
+SHORT = churn.ChurnSettings(folds=3, trees=10, tree_depth=6, rounds=5, step=0.1, iterations=50)
+SHORT_CLV = clv.ClvSettings(trees=10, tree_depth=6, rounds=5, step=0.1)
+
+
+def _split(t: Bound) -> tuple[DataFrame, DataFrame]:
+    split = evaluation.hold_out(churn.labelled(feature_table(t)), "customer_id")
+    return split.where("NOT is_test"), split.where("is_test")
+
+
+def _fit_churn(t: Bound, kind: str):
+    train, test = _split(t)
+    numeric, categorical = churn.inputs(train)
+    stages = modelling.preprocessing(train, numeric, categorical, scale=kind == "logistic")
+    model = modelling.fit(stages, churn.estimator(kind, SHORT, train.count()), churn.weighted(train, kind))
+    return model, test
+
+
+def _scored_by(kind: str) -> Query:
+    def run(t: Bound) -> DataFrame:
+        model, test = _fit_churn(t, kind)
+        return churn.probability(model.transform(test)).select("customer_id", "label", F.round("score", 6).alias("score"))
+
+    return run
+
+
+def _columns(t: Bound) -> DataFrame:
+    numeric, categorical = churn.inputs(feature_table(t))
+    named = [F.struct(F.lit(c).alias("name"), F.lit(kind).alias("kind"))
+             for kind, columns in (("numeric", numeric), ("categorical", categorical)) for c in columns]
+    known = feature_table(t).agg(*[F.count(c).alias(c) for c in numeric + categorical])
+    counts = F.create_map(*[x for c in numeric + categorical for x in (F.lit(c), F.col(c))])
+    return known.select(F.explode(F.array(*named)).alias("c"), counts.alias("k")).select(
+        "c.*", F.col("k")[F.col("c.name")].alias("known_rows"))
+
+
+def _preprocessed(t: Bound) -> DataFrame:
+    train, test = _split(t)
+    numeric, categorical = churn.inputs(train)
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    ready = Pipeline(stages=modelling.preprocessing(train, numeric, categorical, scale=True)).fit(train).transform(test)
+    return ready.select("customer_id", F.size(vector_to_array("features")).alias("width"))
+
+
+def _cross_validated(t: Bound) -> DataFrame:
+    train, _ = _split(t)
+    model, _rows = churn.cross_validate(train, "logistic", SHORT)
+    return t.spark.range(1).select(F.lit(float(model.avgMetrics[0])).alias("cv_roc_auc_mean"),
+                                   F.lit(float(model.stdMetrics[0])).alias("cv_roc_auc_std"))
+
+
+def _out_of_fold(t: Bound) -> DataFrame:
+    train, _ = _split(t)
+    model, rows = churn.cross_validate(train, "logistic", SHORT)
+    return churn.out_of_fold(model, rows, SHORT.folds)
+
+
+def _reloaded(t: Bound) -> DataFrame:
+    model, test = _fit_churn(t, "logistic")
+    path = new_path(t.spark, "churn-model")
+    modelling.save_model(model, path, {"retention_threshold": 0.34})
+    again, metadata = modelling.load_model(t.spark, path)
+    return churn.probability(again.transform(test)).select(
+        "customer_id", "score", F.lit(metadata["retention_threshold"]).alias("threshold"))
+
+
+def _clv_metrics(t: Bound) -> DataFrame:
+    result = clv.train_clv(feature_table(t), SHORT_CLV)
+    rows = [F.struct(F.lit(kind).alias("kind"), *[F.lit(float(v)).alias(name) for name, v in values.items()])
+            for kind, values in result.metrics.items()]
+    return t.spark.range(1).select(F.explode(F.array(*rows)).alias("m")).select("m.*")
+
+
+def _segments(t: Bound, ks=(2, 3), exact: bool = False):
+    return segments.segment_customers(feature_table(t), ks=ks, restarts=1, exact_silhouette=exact)
+
+
+def _silhouettes(t: Bound) -> DataFrame:
+    found = _segments(t, exact=True)
+    return t.spark.range(1).select(F.explode(F.create_map(*[
+        F.lit(x) for k, s in found.silhouettes.items() for x in (k, float(s))])).alias("k", "silhouette"))
+
+
+def _clustered(t: Bound) -> DataFrame:
+    return feature_table(t).join(t["segments"], "customer_id")
+
+
+def _named(t: Bound) -> DataFrame:
+    return segments.name_segments(segments.profiles(_clustered(t)), feature_table(t)).select(
+        "cluster_id", "customer_count", "cluster_name")
+
+
+MODELS: dict[str, Query] = {
+    "m01_model_columns": _columns,
+    "m02_preprocess": _preprocessed,
+    "m03_hold_out": lambda t: evaluation.hold_out(t["scored"], "customer_id").select("customer_id", "is_test"),
+    "m04_class_weights": lambda t: evaluation.class_weights(t["scored"]),
+    "m05_logistic": _scored_by("logistic"),
+    "m06_random_forest": _scored_by("random_forest"),
+    "m07_boosted_trees": _scored_by("boosted"),
+    "m08_cross_validation": _cross_validated,
+    "m09_out_of_fold": _out_of_fold,
+    "m10_threshold_sweep": lambda t: _rounded(evaluation.threshold_sweep(t["scored"]), 9, "threshold", "f_beta"),
+    "m10_best_threshold": lambda t: _rounded(evaluation.best_threshold(t["scored"]), 9, "threshold", "f_beta"),
+    "m11_metrics": lambda t: evaluation.metrics_at(t["scored"], 0.5),
+    "m12_roc_auc": lambda t: _rounded(evaluation.roc_auc(t["scored"]), 9, "roc_auc"),
+    "m13_average_precision": lambda t: _rounded(evaluation.average_precision(t["scored"]), 9, "average_precision"),
+    "m14_classification_report": lambda t: _rounded(evaluation.classification_report(t["scored"], 0.5), 9, "precision", "recall", "f1"),
+    "m15_risk_bands": lambda t: t["scored"].select("customer_id", "score", evaluation.risk_band("score").alias("risk_band")),
+    "m15_score_all": lambda t: churn.score_all(_fit_churn(t, "logistic")[0], feature_table(t)),
+    "m16_save_reload": _reloaded,
+    "m17_clv_models": _clv_metrics,
+    "m18_regression_metrics": lambda t: _rounded(evaluation.regression_metrics(t["scored"], "label", "score"), 9, "mae", "rmse", "r2"),
+    "m19_predicted_clv": lambda t: clv.predict_all(
+        clv.train_clv(feature_table(t), clv.ClvSettings(kinds=("ridge",))).model, feature_table(t)),
+    "m20_z_scores": lambda t: _rounded(segments.z_scores(feature_table(t)), 6, *segments.INPUTS),
+    "m21_kmeans": lambda t: _segments(t).customers.select("customer_id", "cluster_id", "cluster_name"),
+    "m22_silhouette": _silhouettes,
+    "m23_profiles": lambda t: _rounded(segments.profiles(_clustered(t)), 6, *segments.INPUTS),
+    "m24_segment_names": _named,
+    "m25_plane": lambda t: segments.plane_coordinates(segments.scaled_vectors(feature_table(t))[1]).select(
+        "customer_id", F.round("pca_1", 6).alias("pca_1"), F.round("pca_2", 6).alias("pca_2")),
+    "m26_correlations": lambda t: evaluation.correlations(feature_table(t), "churned", CORRELATED),
+}
+
+
+def _policy_inputs(t: Bound) -> tuple[DataFrame, DataFrame, DataFrame]:
+    scores = t["scored"].select("customer_id", F.col("score").alias("churn_probability"), evaluation.risk_band("score").alias("risk_band"))
+    named = t["segments"].select("customer_id", F.concat(F.lit("C"), F.col("cluster_id").cast("string")).alias("cluster_name"))
+    return feature_table(t), scores, named
+
+
+def _retention(t: Bound) -> DataFrame:
+    return policy.retention_table(*_policy_inputs(t))
+
+
+def _tree_contributions(t: Bound) -> DataFrame:
+    model, test = _fit_churn(t, "boosted")
+    numeric, categorical = churn.inputs(test)
+    names = modelling.input_names(model, categorical, numeric)
+    return explain.tree_contributions(t.spark, model.transform(test), model.stages[-1], names)
+
+
+POLICY: dict[str, Query] = {
+    "p01_join": lambda t: policy.joined(*_policy_inputs(t)).select("customer_id", "churn_probability", "risk_band", "cluster_name"),
+    "p02_percentiles": lambda t: _retention(t).select("customer_id", "clv_percentile", "risk_percentile"),
+    "p03_actions": lambda t: _retention(t).select("customer_id", "recommended_action"),
+    "p04_priority": lambda t: _retention(t).select("customer_id", "priority_score"),
+    "p05_recommendations": lambda t: policy.recommend(_retention(t)),
+    "p06_linear_contributions": lambda t: explain.linear_contributions(feature_table(t), P06_WEIGHTS),
+    "p07_tree_contributions": _tree_contributions,
+    "p08_explained_scores": lambda t: explain.explained_scores(
+        churn.probability(_fit_churn(t, "logistic")[0].transform(churn.labelled(feature_table(t)))), 0.34),
+}
+
+
+def _documents(t: Bound) -> DataFrame:
+    return retrieval.documents(t["support_tickets"], t["customer_feedback"])
+
+
+def _evidence(t: Bound) -> DataFrame:
+    first = Window.partitionBy("subcategory").orderBy("source", "id")
+    ranked = _documents(t).withColumn("rank", F.row_number().over(first)).where("rank <= 8")
+    return retrieval.evidence_pack(ranked, "subcategory")
+
+
+def _lengths(t: Bound) -> DataFrame:
+    unit = retrieval.normalised("embedding")
+    square = F.aggregate(F.col("embedding"), F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    return t["vectors"].select("vec_id", F.round(F.sqrt(square), 6).alias("norm_before"), F.round(unit[0], 6).alias("first_value"))
+
+
+def _fenced(t: Bound) -> DataFrame:
+    return t.spark.sql("""
+SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '```SQL' || chr(10) || 'select ' || doc_id || ';' || chr(10) || '```' WHEN 1 THEN '  select * from t; '
+ WHEN 2 THEN '```' || chr(10) || 'select lang' || chr(10) || '```  ' ELSE 'select ' || lang || ' from docs;;' END sql FROM {docs}""", docs=t["dup_docs"])
+
+
+QUESTION = "SELECT country, count(*) AS n FROM customers GROUP BY country ORDER BY n DESC, country"
+
+
+def _sandbox(t: Bound):
+    return guarded.sandbox(t.spark, lambda inner: Bound(inner, t.folder).tables())
+
+
+def _handed_over(inner_df: DataFrame, t: Bound) -> DataFrame:
+    """Bring the capped result back to the caller's session through the shared folder."""
+    path = new_path(t.spark, "answer")
+    inner_df.write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
+def _guard_verdicts(t: Bound) -> DataFrame:
+    inner = _sandbox(t)
+    texts = {"select": QUESTION, "with": "WITH c AS (SELECT * FROM churn_labels) SELECT count(*) n FROM c",
+             "delete": "DELETE FROM customers", "drop": "DROP VIEW customers", "two": "SELECT 1; SELECT 2",
+             "unknown_table": "SELECT * FROM secrets", "unknown_column": "SELECT nothing FROM customers",
+             "file": f"SELECT * FROM parquet.`{t.folder}/customer.parquet`"}
+    verdicts = []
+    for name, text in texts.items():
+        try:
+            guarded.validate_sql(text, inner)
+            verdicts.append((name, True))
+        except ValueError:
+            verdicts.append((name, False))
+    rows = [F.struct(F.lit(n).alias("statement"), F.lit(v).alias("allowed")) for n, v in verdicts]
+    total = t["customers"].agg(F.count(F.lit(1)).alias("customers"))
+    return total.select(F.explode(F.array(*rows)).alias("v"), "customers").select("v.*", "customers")
+
+
+def _audited(t: Bound) -> DataFrame:
+    path, inner = new_path(t.spark, "audit"), _sandbox(t)
+    guarded.ask(t.spark, "Where do customers live?", QUESTION, inner, path)
+    try:
+        guarded.ask(t.spark, "Remove everything", "DROP TABLE customers", inner, path)
+    except ValueError:
+        pass
+    return t.spark.read.json(path).select("question", "sql", "status", "rows")
+
+
+TEXT: dict[str, Query] = {
+    "t01_documents": _documents,
+    "t02_embed": lambda t: retrieval.embed(_documents(t))[0].select("source", "id", F.size("vector").alias("width")),
+    "t03_normalise": _lengths,
+    "t04_vector_table": lambda t: settle(retrieval.embed(_documents(t))[0], "document-vectors").groupBy("source").agg(
+        F.count(F.lit(1)).alias("documents")),
+    "t05_topk_similar": lambda t: retrieval.top_k(
+        t["vectors"], t["vectors"].agg(F.min_by("embedding", "vec_id")), digits=6).select("vec_id", "label", "similarity"),
+    "t05_retrieve_words": lambda t: retrieval.retrieve(_documents(t), "k 69").select("source", "id", "similarity"),
+    "t06_topk_batch": lambda t: retrieval.top_k_batch(t["vectors"], t["vectors"]),
+    "t07_evidence_pack": _evidence,
+    "t08_strip_fence": lambda t: _fenced(t).select("doc_id", guarded.strip_fence_column("sql").alias("sql")),
+    "t09_capped_query": lambda t: _handed_over(guarded.execute_safe(QUESTION, _sandbox(t)), t),
+    "t10_sql_guard": _guard_verdicts,
+    "t11_csv_preview": lambda t: guarded.csv_preview(t["customers"].select("customer_id", "country", "age").orderBy("customer_id")),
+}
+
+
+def _published_scores(t: Bound) -> DataFrame:
+    return t["scored"].select("customer_id", evaluation.risk_band("score").alias("risk_band"))
+
+
+EXPLORE: dict[str, Query] = {
+    "d01_kpis": lambda t: explore.kpis(feature_table(t), t["payments"], _published_scores(t), t["support_tickets"]),
+    "d02_churn_by_plan": lambda t: explore.churn_by(features.feature_columns(t), "current_plan"),
+    "d03_sample": lambda t: explore.stable_sample(t["customers"], "customer_id", 3000).select("customer_id", "country", "customer_segment"),
+    "d04_filtered": lambda t: explore.filtered(features.feature_columns(t), {
+        "country": ["NATION_1", "NATION_2", "NATION_3"], "current_plan": ["Premium", "Basic"], "customer_segment": []}).select(
+        "customer_id", "country", "current_plan"),
+    "d04_options": lambda t: explore.options(features.feature_columns(t), "current_plan"),
+    "d05_customer_grid": lambda t: explore.customer_grid(feature_table(t)),
+    "d06_age_histogram": lambda t: explore.histogram(t["customers"], "age", 35),
+    "d06_tenure_by_churn": lambda t: explore.histogram(feature_table(t), "customer_tenure_days", 30, ["churned"]),
+    "d06_watch_histogram": lambda t: explore.histogram(t["viewing_activity"], "watch_duration_minutes", 60),
+    "d06_completion_histogram": lambda t: explore.histogram(t["viewing_activity"], "completion_percentage", 40),
+    "d06_amount_histogram": lambda t: explore.histogram(t["payments"], "amount", 50, ["payment_status"]),
+    "d06_csat_histogram": lambda t: explore.histogram(t["support_tickets"], "customer_satisfaction_score", 5),
+    "d07_engagement_box": lambda t: explore.box_summary(feature_table(t), "churned", "engagement_score"),
+    "d07_resolution_box": lambda t: explore.box_summary(t["support_tickets"], "issue_category", "resolution_time_hours"),
+    "d07_rating_box": lambda t: explore.box_summary(t["customer_feedback"], "sentiment_label", "rating"),
+    "d07_failed_rate_box": lambda t: explore.box_summary(feature_table(t), "churned", "failed_payment_rate"),
+    "d07_ticket_volume_box": lambda t: explore.box_summary(feature_table(t), "churned", "support_ticket_count"),
+    "d08_countries": lambda t: explore.value_counts(t["customers"], "country", 20),
+    "d08_subcategories": lambda t: explore.value_counts(t["support_tickets"], "issue_subcategory", 15),
+    "d08_channels": lambda t: explore.value_counts(t["customers"], "acquisition_channel"),
+    "d08_devices": lambda t: explore.value_counts(t["viewing_activity"], "device_type"),
+    "d08_categories": lambda t: explore.value_counts(t["support_tickets"], "issue_category"),
+    "d09_segment_mix": lambda t: explore.shares(t["customers"], "customer_segment"),
+    "d09_plan_mix": lambda t: explore.shares(features.feature_columns(t), "current_plan"),
+    "d10_recurring_revenue": lambda t: explore.recurring_revenue(features.feature_columns(t)),
+    "d11_churn_by_country": lambda t: explore.churn_by(features.feature_columns(t), "country", 20),
+    "d12_monthly_minutes": lambda t: engagement.monthly_minutes(t["viewing_activity"]),
+    "d13_minutes_by_genre": lambda t: engagement.minutes_by_genre(t["viewing_activity"], t["content"]),
+    "d14_failed_history": lambda t: revenue.failed_payments_by_month(t["payments"], months=None),
+    "d15_cluster_sizes": lambda t: explore.cluster_sizes(t["segments"]),
+    "d15_cluster_top": lambda t: explore.cluster_top(t["segments"], feature_table(t)),
+    "d16_table_shapes": lambda t: quality.table_shapes(t.tables()),
+}
+
+
+def _raw_text(t: Bound) -> dict[str, DataFrame]:
+    """The bound tables as they would be delivered: dates as text, customers in a known order."""
+    raw = {name: files.iso_dates(df) for name, df in t.tables().items()}
+    raw["customers"] = raw["customers"].withColumn(files.ORDER, F.col("customer_id"))
+    return raw
+
+
+def _delivered(t: Bound, *names: str) -> tuple[str, dict]:
+    folder = new_path(t.spark, "csv")
+    files.write_csv({name: t[name] for name in names}, folder)
+    return folder, {name: t[name].schema for name in names}
+
+
+def _read_raw(t: Bound) -> DataFrame:
+    folder, schemas = _delivered(t, "customers")
+    return files.read_raw(t.spark, folder, ["customers"], schemas)["customers"].drop(files.ORDER)
+
+
+def _read_processed(t: Bound) -> DataFrame:
+    folder, schemas = _delivered(t, "churn_labels")
+    return files.read_processed(t.spark, folder, ["churn_labels"], schemas)["churn_labels"]
+
+
+def _written_text(t: Bound) -> DataFrame:
+    folder, _ = _delivered(t, "support_tickets")
+    return t.spark.read.schema("ticket_id bigint, customer_id bigint, ticket_date string").option("header", True).option(
+        "enforceSchema", True).csv(f"{folder}/support_tickets.csv").select("ticket_id", "ticket_date")
+
+
+def _report(t: Bound) -> DataFrame:
+    path = new_path(t.spark, "report")
+    files.write_report(quality.clean_all(_raw_text(t))[1], path)
+    return t.spark.read.json(path)
+
+
+def _saved(t: Bound) -> tuple[str, list[str]]:
+    database = "tidemark_mart"
+    return database, catalog.reload_tables(t.spark, t.tables(), database, new_path(t.spark, "mart"))
+
+
+def _reload(t: Bound) -> DataFrame:
+    _, names = _saved(t)
+    return quality.row_counts({name.split(".")[1]: t.spark.table(name) for name in names})
+
+
+def _score_mart(t: Bound) -> DataFrame:
+    path = new_path(t.spark, "scores")
+    before = catalog.load_scores(t.spark, path, "tidemark_mart", new_path(t.spark, "mart"))
+    t["scored"].write.parquet(path)
+    t.spark.sql("CREATE DATABASE IF NOT EXISTS tidemark_mart")
+    after = catalog.load_scores(t.spark, path, "tidemark_mart", new_path(t.spark, "mart"))
+    return t.spark.table("tidemark_mart.ml_customer_scores").agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", F.lit(before).alias("loaded_before"), F.lit(after).alias("loaded_after"))
+
+
+def _documents_back(t: Bound) -> DataFrame:
+    path, docs = new_path(t.spark, "jsonl"), _documents(t)
+    files.write_documents(docs, path)
+    return files.read_documents(t.spark, path, docs.schema)
+
+
+def _dates_as_text(t: Bound) -> DataFrame:
+    return files.iso_dates(feature_table(t)).select("customer_id", "anchor_date", "last_view_date")
+
+
+def _outputs(t: Bound) -> DataFrame:
+    folder = new_path(t.spark, "published")
+    tables = {"customer_churn_scores": t["scored"], "customer_segments": t["segments"],
+              "retention_priorities": policy.recommend(_retention(t))}
+    files.write_parquet(tables, folder)
+    return quality.row_counts({name: t.spark.read.parquet(f"{folder}/{name}") for name in tables})
+
+
+def _views(t: Bound) -> DataFrame:
+    names = views.create_views(t)
+    counted = quality.row_counts({name: t.spark.table(name) for name in names})
+    return counted.select(F.col("table_name").alias("view_name"), F.col("row_count").alias("n"))
+
+
+def _batch(t: Bound) -> DataFrame:
+    published = batch.run(t.spark, _raw_text(t), new_path(t.spark, "batch"), fast=True, index=True,
+                          churn_settings=churn.ChurnSettings(folds=2, iterations=20, kinds=("logistic",)),
+                          clv_settings=clv.ClvSettings(kinds=("ridge",)), restarts=1)
+    return quality.row_counts(published)
+
+
+SOURCES: dict[str, Query] = {
+    "s01_read_raw_csv": _read_raw,
+    "s02_read_processed": _read_processed,
+    "s03_write_iso_csv": _written_text,
+    "s04_quality_report": _report,
+    "c19_clean_all": lambda t: quality.row_counts(quality.clean_all(_raw_text(t))[0]),
+    "s05_reload_tables": _reload,
+    "s06_score_mart": _score_mart,
+    "s07_parameterised_query": lambda t: catalog.query_df(
+        t.spark, "SELECT country, count(*) n FROM {customers} WHERE age >= :low AND acquisition_channel = :channel GROUP BY country",
+        {"low": 40, "channel": "Paid"}, customers=t["customers"]),
+    "s08_catalog": lambda t: catalog.schema_text(catalog.schema_catalog(t.spark, _saved(t)[0])),
+    "s09_jsonl_documents": _documents_back,
+    "s10_feature_dates": _dates_as_text,
+    "s11_published_tables": _outputs,
+    "s12_views": _views,
+    "s13_batch_run": _batch,
+    "s14_audit": _audited,
+}
+
+QUERIES: dict[str, Query] = {**BUSINESS, **CLEANING, **FACTS, **FEATURES, **MODELS, **POLICY, **TEXT, **EXPLORE, **SOURCES}
