@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.expr import ratio
+from tidemark.session import settle
 
 CELL = "_cell"
 ROWS_PER_CELL = 16  # sampled keys that make one cell
@@ -43,8 +43,8 @@ def _key_literal(df: DataFrame, row, keys: Sequence[str]) -> Column:
 
 
 def sample_keys(df: DataFrame, keys: Sequence[str], size: int) -> list:
-    """``size`` rows with the smallest key hash: a uniform, repeatable sample of bounded size."""
-    return df.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(size).collect()
+    """``size`` rows with the smallest key hash, in key order: a uniform, repeatable sample of bounded size."""
+    return df.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(size).orderBy(*keys).collect()
 
 
 def cut_cells(df: DataFrame, group: Sequence[str], order: Sequence[str], cells: int | None = None,
@@ -63,9 +63,7 @@ def cut_cells(df: DataFrame, group: Sequence[str], order: Sequence[str], cells:
     large = {g for g, n in per_group.items() if n >= rows_per_cell}
     if not large:
         return Cells(whole, None)
-    in_large = [row for row in sample if tuple(row[g] for g in group) in large]
-    listed = F.sort_array(F.array(*[_key_literal(df, row, keys) for row in in_large]))
-    ordered = df.sparkSession.range(1).select(listed.alias("k")).first()["k"]  # sampled keys in Spark's own order
+    ordered = [row for row in sample if tuple(row[g] for g in group) in large]
     bounds = F.array(*[_key_literal(df, row, keys) for row in ordered[rows_per_cell - 1 :: rows_per_cell]])
     this_row = F.struct(*[F.col(k) for k in keys])
     number = F.size(F.filter(bounds, lambda bound: bound < this_row))
@@ -159,12 +157,11 @@ def value_positions(df: DataFrame, columns: Sequence[str], weights: Mapping[str,
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"),
                  *[w.alias(n) for n, w in weights.items()]) for c in columns])).alias("x")).select("x.*")
-    counted = long.where(F.col("value").isNotNull()).groupBy("name", "value").agg(
-        F.count(F.lit(1)).alias("equal"), *[F.sum(n).alias(n) for n in weights])
+    counted = settle(long.where(F.col("value").isNotNull()).groupBy("name", "value").agg(
+        F.count(F.lit(1)).alias("equal"), *[F.sum(n).alias(n) for n in weights]), "value-counts")
     summed = running_sum(counted, ["name"], ["value"],
                          {"_to": F.col("equal"), **{f"_to_{n}": F.col(n) for n in weights}}, **cutting)
-    totals = df.agg(*[F.count(c).alias(c) for c in columns]).select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("name"), F.col(c).alias("n")) for c in columns])).alias("x")).select("x.*")
+    totals = counted.groupBy("name").agg(F.sum("equal").alias("n"))
     return summed.join(F.broadcast(totals), "name").select(  # one row per ranked column
         "name", "value", "equal", (F.col("_to") - F.col("equal")).alias("below"), "n",
         *weights, *[(F.col(f"_to_{n}") - F.col(n)).alias(f"{n}_below") for n in weights])
@@ -211,7 +208,8 @@ def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probs: Ma
                       **cutting) -> DataFrame:
     """Interpolated percentiles per group from counts of distinct values: no group is held in memory."""
     group = list(group)
-    counted = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
+    counted = settle(df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(
+        F.count(F.lit(1)).alias("_c")), "value-counts")
     summed = running_sum(counted, group, [value], {"_to": F.col("_c")}, **cutting)
     sizes = counted.groupBy(*group).agg(F.sum("_c").alias("_n"))
     if group:

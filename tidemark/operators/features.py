@@ -198,7 +198,7 @@ def feature_columns(tables: Mapping[str, DataFrame], end: Column | None = None)
     t = tables
     if end is None:
         end = data_end(t["viewing_activity"], t["payments"], t["support_tickets"], t["customer_feedback"])
-    at = anchors(t["churn_labels"], end)
+    at = settle(anchors(t["churn_labels"], end), "anchors")  # one row per customer, joined to every fact
     table = tenure(t["customers"].join(at, "customer_id"))
     table = subscription_state(table, at, t["subscriptions"], t["subscription_plans"])
     table = viewing_features(table, at, t["viewing_activity"], t["content"])
