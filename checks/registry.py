@@ -12,6 +12,7 @@ from checks.cleaning import MESSY, WITH_CUSTOMER
 from checks.modelsql import AT, CORRELATED, P06_WEIGHTS
 from tidemark.operators import (audience, churn, clv, engagement, evaluation, explain, explore, features, modelling,
                                 policy, quality, reports, retrieval, revenue, risk, rootcause, segments, support)
+from tidemark.functions.expr import as_literal
 from tidemark.functions.intervals import anchored
 from tidemark.plans import batch, views
 from tidemark.session import new_path, settle
@@ -135,7 +136,7 @@ def _end(t: Bound):
 
 
 def _anchors(t: Bound) -> DataFrame:
-    return features.anchors(t["churn_labels"], _end(t))
+    return features.anchors(t["churn_labels"], as_literal(_end(t)))
 
 
 def _at(t: Bound) -> DataFrame:
@@ -154,7 +155,7 @@ def feature_table(t: Bound) -> DataFrame:
 
 
 FEATURES: dict[str, Query] = {
-    "f01_data_end": lambda t: t.spark.range(1).select(_end(t).alias("data_end")),
+    "f01_data_end": lambda t: _end(t).withColumnRenamed("day", "data_end"),
     "f02_anchors": _anchors,
     "f03_event_window": lambda t: anchored(t["support_tickets"], _at(t), "ticket_date", 90).select(
         "ticket_id", "customer_id", "anchor_date", "days_before_anchor"),
@@ -175,10 +176,14 @@ FEATURES: dict[str, Query] = {
 }
 
 
-def _anchor(t: Bound):
+def _anchor_row(t: Bound) -> DataFrame:
     return reports.report_anchor(t["payments"], t["viewing_activity"], t["churn_labels"])
 
 
+def _anchor(t: Bound):
+    return as_literal(_anchor_row(t))
+
+
 FACTS: dict[str, Query] = {
     "r01_churn": lambda t: rootcause.churn_fact(t["churn_labels"], t["customers"], at=AT),
     "r02_engagement": lambda t: rootcause.engagement_fact(t["viewing_activity"], t["customers"], at=AT),
@@ -187,7 +192,7 @@ FACTS: dict[str, Query] = {
     "r05_plan_mix": lambda t: rootcause.plan_mix(t["subscriptions"], t["customers"], t["subscription_plans"], AT),
     "r05_plan_mix_by_month": lambda t: rootcause.plan_mix_by_month(t["subscriptions"], t["customers"], t["subscription_plans"]),
     "r06_fact_packs": rootcause.fact_packs,
-    "r07_anchor": lambda t: t.spark.range(1).select(_anchor(t).alias("anchor")),
+    "r07_anchor": lambda t: _anchor_row(t).withColumnRenamed("day", "anchor"),
     "r08_revenue": lambda t: reports.revenue(t["payments"], _anchor(t)),
     "r09_churned": lambda t: reports.churned(t["churn_labels"], _anchor(t)),
     "r10_new_customers": lambda t: reports.new_customers(t["customers"], _anchor(t)),
@@ -203,7 +208,7 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 # A short training run: the same jobs as the full settings with fewer trees and rounds.
-SHORT = churn.ChurnSettings(folds=3, trees=10, tree_depth=6, rounds=5, step=0.1, iterations=50)
+SHORT = churn.ChurnSettings(folds=3, trees=10, tree_depth=6, rounds=5, step=0.1, iterations=20)
 SHORT_CLV = clv.ClvSettings(trees=10, tree_depth=6, rounds=5, step=0.1)
 
 
@@ -565,7 +570,7 @@ def _views(t: Bound) -> DataFrame:
 def _batch(t: Bound) -> DataFrame:
     published = batch.run(t.spark, _raw_text(t), new_path(t.spark, "batch"), fast=True, index=True,
                           churn_settings=churn.ChurnSettings(folds=2, iterations=20, kinds=("logistic",)),
-                          clv_settings=clv.ClvSettings(kinds=("ridge",)), restarts=1)
+                          clv_settings=clv.ClvSettings(kinds=("ridge",)), restarts=1, ks=(2, 3))
     return quality.row_counts(published)
 
 

@@ -30,7 +30,8 @@ def test_resolve_payments(make, subscriptions):
                    9: (None, "unresolved", False)}
 
 
-def test_resolve_against_interval_join(spark):
+@pytest.mark.parametrize("cutting", [{}, {"cells": 6, "rows_per_cell": 4}])
+def test_resolve_against_interval_join(spark, cutting):
     rng = np.random.default_rng(3)
     start = pd.Timestamp("2024-01-01")
     subs = pd.DataFrame({"subscription_id": range(120), "customer_id": np.where(np.arange(120) < 40, 1, rng.integers(2, 9, 120)),
@@ -53,7 +54,7 @@ def test_resolve_against_interval_join(spark):
     pdf = spark.createDataFrame(pd.DataFrame({"payment_id": pays.payment_id, "customer_id": pays.customer_id,
                                               "payment_date": [(start + pd.Timedelta(days=int(x))).date() for x in pays.d]}),
                                 "payment_id int, customer_id int, payment_date date")
-    got = {r.payment_id: (r.subscription_id, r.resolution) for r in q.resolve_payments(pdf, sdf).collect()}
+    got = {r.payment_id: (r.subscription_id, r.resolution) for r in q.resolve_payments(pdf, sdf, **cutting).collect()}
     assert got == want
 
 

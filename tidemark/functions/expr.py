@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -58,3 +58,17 @@ def week(c: str | Column) -> Column:
 
 def days_between(later: str | Column, earlier: str | Column) -> Column:
     return F.datediff(col(later), col(earlier))
+
+
+def latest_day(*dated: tuple[DataFrame, str]) -> DataFrame:
+    """One row, one column ``day``: the last day over several tables, each read once."""
+    days = None
+    for df, c in dated:
+        one = df.agg(F.max(c).alias("day"))
+        days = one if days is None else days.unionByName(one)
+    return days.agg(F.max("day").alias("day"))
+
+
+def as_literal(one_row: DataFrame) -> Column:
+    """The value of a one-row frame as a literal, which filters push down to the scan."""
+    return F.lit(one_row.first()[0])

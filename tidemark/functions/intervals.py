@@ -1,38 +1,41 @@
-"""Joins in time: as-of, nearest date, anchored windows.
-
-Both sides are first reduced to one row per key and day, so the rows of one key are bounded by the
-calendar whatever the number of its events, and one shuffle by key orders them together.
-"""
+"""Joins in time: as-of, nearest date, anchored windows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.ordering import last_known
+
 
 def _key_days(df: DataFrame, key: str, day: str) -> DataFrame:
     return df.where(F.col(key).isNotNull() & F.col(day).isNotNull()).select(
         F.col(key).alias("_key"), F.col(day).alias("_day")).distinct()
 
 
-def as_of(events: DataFrame, states: DataFrame, key: str, event_day: str, state_day: str,
-          carried: str) -> DataFrame:
+def as_of(events: DataFrame, states: DataFrame, key: str, event_day: str, event_id: str, state_day: str,
+          carried: str, **cutting) -> DataFrame:
     """Attach to every event the struct column ``carried`` of the last state at or before its day.
 
-    ``states`` has one row per key and day. Events keep all rows; those without a state get NULL.
+    ``states`` has one row per key and day. Both sides are ordered together in one shuffle of the events; a
+    key with a large share of them is cut into day ranges. Events without a state, or a day, get NULL.
     """
-    marks = _key_days(events, key, event_day).withColumn("_state", F.lit(None).cast(states.schema[carried].dataType))
-    starts = states.select(F.col(key).alias("_key"), F.col(state_day).alias("_day"), F.col(carried).alias("_state"))
-    both = starts.withColumn("_kind", F.lit(0)).unionByName(marks.withColumn("_kind", F.lit(1)))
-    so_far = Window.partitionBy("_key").orderBy("_day", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("_state", F.last("_state", ignorenulls=True).over(so_far)).where("_kind = 1")
-    found = found.select("_key", "_day", F.col("_state").alias(carried))
-    on = (F.col(key) == F.col("_key")) & (F.col(event_day) == F.col("_day"))
-    return events.join(found, on, "left").drop("_key", "_day")
+    known = states.where(F.col(key).isNotNull() & F.col(state_day).isNotNull())
+    starts = known.select(F.col(key), F.col(state_day).alias("_day"), F.lit(0).alias("_kind"),
+                          F.lit(None).cast("bigint").alias("_tie"), F.col(carried).alias("_state"))
+    marks = events.select("*", F.col(event_day).alias("_day"), F.lit(1).alias("_kind"),
+                          F.xxhash64(event_id).alias("_tie"))
+    both = marks.unionByName(starts, allowMissingColumns=True)
+    found = last_known(both, [key], ["_day", "_kind", "_tie"], "_state", carried, **cutting)
+    return found.where(F.col("_kind") == 1).drop("_day", "_kind", "_tie", "_state")
 
 
 def near(left: DataFrame, right: DataFrame, key: str, left_day: str, right_day: str, days: int) -> DataFrame:
-    """Rows of ``left`` with a ``right`` day of the same key at most ``days`` before or after."""
+    """Rows of ``left`` with a ``right`` day of the same key at most ``days`` before or after.
+
+    Both sides are first reduced to one row per key and day, so what is ordered for one key is bounded by the
+    calendar, whatever the number of its events.
+    """
     marks = _key_days(left, key, left_day).withColumn("_kind", F.lit(1))
     events = _key_days(right, key, right_day).withColumn("_kind", F.lit(0))
     both = events.unionByName(marks)
@@ -54,8 +57,3 @@ def anchored(events: DataFrame, anchors: DataFrame, day: str, days: int | None =
     kept = joined.where(F.col(day).isNotNull() & (F.col(day) <= F.col("anchor_date"))).withColumn(
         "days_before_anchor", age)
     return kept if days is None else kept.where(F.col("days_before_anchor").between(0, days - 1))
-
-
-def window_of(c: Column, start: Column, stop: Column) -> Column:
-    """Half-open interval test."""
-    return (c >= start) & (c < stop)

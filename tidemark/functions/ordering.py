@@ -128,6 +128,26 @@ def neighbour(df: DataFrame, group: Sequence[str], order: Sequence[str], columns
     return rows.drop("_edge", CELL)
 
 
+def last_known(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, out: str, **cutting) -> DataFrame:
+    """Add the last value so far that is not NULL, the row's own included."""
+    cut = cut_cells(df, group, order, **cutting)
+    within = Window.partitionBy(*group, CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = cut.rows.withColumn(out, F.last(value, ignorenulls=True).over(within))
+    if cut.hot is not None:
+        per_cell = cut.rows.where(cut.hot & F.col(value).isNotNull()).groupBy(*group, CELL).agg(
+            F.max_by(value, F.struct(*order)).alias("_value"))
+        # cells without a value still need what came before them, so every cell of the group is listed
+        cells = cut.rows.where(cut.hot).select(*group, CELL).distinct()
+        same = F.lit(True)
+        for key in [*group, CELL]:
+            same = same & cells[key].eqNullSafe(per_cell[key])
+        listed = cells.join(per_cell, same, "left").select(*[cells[k] for k in (*group, CELL)], "_value")
+        before = Window.partitionBy(*group).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
+        carry = listed.select(*group, CELL, F.last("_value", ignorenulls=True).over(before).alias("_carry"))
+        rows = _add_carry(rows, carry, group).withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry")
+    return rows.drop(CELL)
+
+
 def row_position(df: DataFrame, order: Sequence[str], out: str = "position", **cutting) -> DataFrame:
     """Global row number by a unique order."""
     return running_sum(df, [], order, {out: F.lit(1).cast("bigint")}, **cutting)

@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.expr import count_if, month, ratio_even
+from tidemark.functions.expr import as_literal, count_if, latest_day, month, ratio_even
 from tidemark.functions.intervals import anchored
 from tidemark.functions.ordering import add_ranks, twice_average_rank
 from tidemark.session import settle
@@ -21,10 +21,10 @@ NEVER = 999
 AGE = "days_before_anchor"
 
 
-def data_end(viewing: DataFrame, payments: DataFrame, tickets: DataFrame, feedback: DataFrame) -> Column:
-    """last event day over the four facts."""
-    return F.greatest(viewing.agg(F.max("viewing_date")).scalar(), payments.agg(F.max("payment_date")).scalar(),
-                      tickets.agg(F.max("ticket_date")).scalar(), feedback.agg(F.max("feedback_date")).scalar())
+def data_end(viewing: DataFrame, payments: DataFrame, tickets: DataFrame, feedback: DataFrame) -> DataFrame:
+    """last event day over the four facts, as one row."""
+    return latest_day((viewing, "viewing_date"), (payments, "payment_date"), (tickets, "ticket_date"),
+                      (feedback, "feedback_date"))
 
 
 def anchors(churn_labels: DataFrame, end: Column) -> DataFrame:
@@ -197,7 +197,7 @@ def feature_columns(tables: Mapping[str, DataFrame], end: Column | None = None)
     """All features but the scores, lazily: unused groups are pruned by Spark."""
     t = tables
     if end is None:
-        end = data_end(t["viewing_activity"], t["payments"], t["support_tickets"], t["customer_feedback"])
+        end = as_literal(data_end(t["viewing_activity"], t["payments"], t["support_tickets"], t["customer_feedback"]))
     at = settle(anchors(t["churn_labels"], end), "anchors")  # one row per customer, joined to every fact
     table = tenure(t["customers"].join(at, "customer_id"))
     table = subscription_state(table, at, t["subscriptions"], t["subscription_plans"])

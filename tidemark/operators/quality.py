@@ -147,7 +147,7 @@ def price_mismatches(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(~same, F.col("_n"))), F.lit(0)).alias("mismatches"))
 
 
-def resolve_payments(payments: DataFrame, subscriptions: DataFrame) -> DataFrame:
+def resolve_payments(payments: DataFrame, subscriptions: DataFrame, **cutting) -> DataFrame:
     """Subscription of each payment.
 
     The subscription running on the payment date, else the last one started before it. A subscription
@@ -165,13 +165,13 @@ def resolve_payments(payments: DataFrame, subscriptions: DataFrame) -> DataFrame
     states = starts.select("customer_id", "subscription_start_date", F.struct(
         F.col("_s.subscription_id").alias("subscription_id"), until.alias("until"),
         F.col("_s.cancelled").alias("cancelled")).alias("_state"))
-    found = as_of(payments.drop("subscription_id"), states, "customer_id", "payment_date",
-                  "subscription_start_date", "_state")
-    resolution = (F.when(F.col("_state.subscription_id").isNull(), "unresolved")
-                  .when(F.col("payment_date") < F.col("_state.until"), "active").otherwise("fallback"))
-    late = F.coalesce(F.col("payment_date") > F.col("_state.cancelled"), F.lit(False))
-    return found.withColumns({"subscription_id": F.col("_state.subscription_id"), "resolution": resolution,
-                              "after_cancellation": late}).drop("_state")
+    found = as_of(payments.drop("subscription_id"), states.withColumnRenamed("_state", "_s"), "customer_id",
+                  "payment_date", "payment_id", "subscription_start_date", "_s", **cutting)
+    resolution = (F.when(F.col("_s.subscription_id").isNull(), "unresolved")
+                  .when(F.col("payment_date") < F.col("_s.until"), "active").otherwise("fallback"))
+    late = F.coalesce(F.col("payment_date") > F.col("_s.cancelled"), F.lit(False))
+    return found.withColumns({"subscription_id": F.col("_s.subscription_id"), "resolution": resolution,
+                              "after_cancellation": late}).drop("_s")
 
 
 def orphan_counts(tables: Mapping[str, DataFrame], parent: str = "customers", key: str = "customer_id") -> DataFrame:
@@ -235,14 +235,16 @@ def rule_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _stack(parts)
 
 
-def clean_all(raw: Mapping[str, DataFrame], order: str = "_ord") -> tuple[dict[str, DataFrame], DataFrame]:
-    """Cleaned tables and a one-row report. ``raw['customers']`` carries the file order in ``order``."""
+def named_customers(raw_customers: DataFrame, order: str) -> DataFrame:
+    """First row per customer with canonical names; ages as delivered."""
+    customers = canonical(keep_first(raw_customers, "customer_id", order).drop(order), "country", COUNTRY_SPELLINGS)
+    return customers.fillna({c: UNKNOWN for c in ("country", "city") if c in customers.columns})
+
+
+def clean_tables(raw: Mapping[str, DataFrame], order: str = "_ord") -> dict[str, DataFrame]:
+    """The cleaned tables. ``raw['customers']`` carries the file order in ``order``."""
     tables = dict(raw)
-    customers = keep_first(raw["customers"], "customer_id", order).drop(order)
-    customers = canonical(customers, "country", COUNTRY_SPELLINGS)
-    defaults = {c: UNKNOWN for c in ("country", "city") if c in customers.columns}
-    customers = customers.fillna(defaults)
-    ages = customers
+    customers = named_customers(raw["customers"], order)
     customers = impute_median(valid_range(customers, "age", 13, 100), "age", "country", whole_numbers=True)
     tables["customers"] = impute_mode(customers, "preferred_language")
     for name, columns in DATE_COLUMNS.items():
@@ -253,12 +255,18 @@ def clean_all(raw: Mapping[str, DataFrame], order: str = "_ord") -> tuple[dict[s
     tables["viewing_activity"] = impute_median(viewing, "completion_percentage", "content_id")
     payments = resolve_payments(tables["payments"], tables["subscriptions"])
     tables["payments"] = payments.drop("resolution", "after_cancellation")
-    tables = {name: tables[name] for name in SCHEMAS if name in tables}
-    return tables, quality_report(raw, tables, ages)
+    return {name: tables[name] for name in SCHEMAS if name in tables}
+
+
+def clean_all(raw: Mapping[str, DataFrame], order: str = "_ord") -> tuple[dict[str, DataFrame], DataFrame]:
+    """Cleaned tables and the one-row report."""
+    tables = clean_tables(raw, order)
+    return tables, quality_report(raw, tables, order)
 
 
-def quality_report(raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame], ages: DataFrame) -> DataFrame:
+def quality_report(raw: Mapping[str, DataFrame], clean: Mapping[str, DataFrame], order: str = "_ord") -> DataFrame:
     """The counts of one cleaning run as a single row."""
+    ages = named_customers(raw["customers"], order)
     views = clean["viewing_activity"]
     measures = [c for c in ("watch_duration_minutes", "session_duration_minutes") if c in views.columns]
     tails = upper_tail(views, measures).unionByName(upper_tail(clean["payments"], ["amount"]))

@@ -7,15 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.expr import ratio
+from tidemark.functions.expr import as_literal, latest_day, ratio
 
 PERIODS = {"weekly": 7, "monthly": 30, "quarterly": 90}
 
 
-def report_anchor(payments: DataFrame, viewing: DataFrame, churn_labels: DataFrame) -> Column:
-    """R07"""
-    return F.greatest(payments.agg(F.max("payment_date")).scalar(), viewing.agg(F.max("viewing_date")).scalar(),
-                      churn_labels.agg(F.max("churn_date")).scalar())
+def report_anchor(payments: DataFrame, viewing: DataFrame, churn_labels: DataFrame) -> DataFrame:
+    """One row."""
+    return latest_day((payments, "payment_date"), (viewing, "viewing_date"), (churn_labels, "churn_date"))
 
 
 def _per_period(df: DataFrame, day: str, anchor: Column, periods: Mapping[str, int], **parts: tuple) -> DataFrame:
@@ -76,7 +75,7 @@ def top_complaints(tickets: DataFrame, anchor: Column, periods: Mapping[str, int
 
 def report_facts(tables: Mapping[str, DataFrame], periods: Mapping[str, int] = PERIODS) -> DataFrame:
     """One row per period."""
-    anchor = report_anchor(tables["payments"], tables["viewing_activity"], tables["churn_labels"])
+    anchor = as_literal(report_anchor(tables["payments"], tables["viewing_activity"], tables["churn_labels"]))
     complaints = top_complaints(tables["support_tickets"], anchor, periods).groupBy("period").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rank", "issue_subcategory", "n"))),  # k entries
                     lambda c: F.struct(c.issue_subcategory.alias("issue_subcategory"), c.n.alias("n"))).alias("top_complaints"))
