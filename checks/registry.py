@@ -537,7 +537,6 @@ def _score_mart(t: Bound) -> DataFrame:
     path = new_path(t.spark, "scores")
     before = catalog.load_scores(t.spark, path, "tidemark_mart", new_path(t.spark, "mart"))
     t["scored"].write.parquet(path)
-    t.spark.sql("CREATE DATABASE IF NOT EXISTS tidemark_mart")
     after = catalog.load_scores(t.spark, path, "tidemark_mart", new_path(t.spark, "mart"))
     return t.spark.table("tidemark_mart.ml_customer_scores").agg(F.count(F.lit(1)).alias("rows")).select(
         "rows", F.lit(before).alias("loaded_before"), F.lit(after).alias("loaded_after"))

@@ -47,6 +47,17 @@ def sample_keys(df: DataFrame, keys: Sequence[str], size: int) -> list:
     return df.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(size).orderBy(*keys).collect()
 
 
+def _bounds_below(bounds: list[Column], row: Column) -> Column:
+    """How many of the sorted bounds are below the row, in two steps of about sqrt(n) comparisons each."""
+    width = max(1, round(len(bounds) ** 0.5))
+    blocks = [bounds[i:i + width] for i in range(0, len(bounds), width)]
+    passed = F.size(F.filter(F.array(*[block[-1] for block in blocks]), lambda bound: bound < row))
+    block = F.get(F.array(*[F.array(*block) for block in blocks]), passed)
+    inside = F.when(passed < len(blocks), F.size(F.filter(block, lambda bound: bound < row))).otherwise(F.lit(0))
+    # whole blocks are ``width`` long; only the last may be shorter, and then every bound has been passed
+    return F.when(passed < len(blocks), passed * width + inside).otherwise(F.lit(len(bounds)))
+
+
 def cut_cells(df: DataFrame, group: Sequence[str], order: Sequence[str], cells: int | None = None,
               rows_per_cell: int = ROWS_PER_CELL) -> Cells:
     """Number the cells. ``group + order`` must be (nearly) unique for the cells to be even."""
@@ -64,13 +75,15 @@ def cut_cells(df: DataFrame, group: Sequence[str], order: Sequence[str], cells:
     if not large:
         return Cells(whole, None)
     ordered = [row for row in sample if tuple(row[g] for g in group) in large]
-    bounds = F.array(*[_key_literal(df, row, keys) for row in ordered[rows_per_cell - 1 :: rows_per_cell]])
-    this_row = F.struct(*[F.col(k) for k in keys])
-    number = F.size(F.filter(bounds, lambda bound: bound < this_row))
+    number = _bounds_below([_key_literal(df, row, keys) for row in ordered[rows_per_cell - 1 :: rows_per_cell]],
+                           F.struct(*[F.col(k) for k in keys]))
     hot = F.lit(True)
     if group:
-        named = [dict(zip(group, g)) for g in large]
-        hot = F.struct(*[F.col(g) for g in group]).isin(*[_key_literal(df, g, group) for g in named])
+        named = [dict(zip(group, g)) for g in sorted(large, key=repr)]
+        if len(group) == 1 and all(g[group[0]] is not None for g in named):
+            hot = F.col(group[0]).isin(*[g[group[0]] for g in named])  # can be pushed to the scan
+        else:
+            hot = F.struct(*[F.col(g) for g in group]).isin(*[_key_literal(df, g, group) for g in named])
     return Cells(df.withColumn(CELL, F.when(hot, number).otherwise(F.lit(0))), hot)
 
 
@@ -134,16 +147,10 @@ def last_known(df: DataFrame, group: Sequence[str], order: Sequence[str], value:
     within = Window.partitionBy(*group, CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     rows = cut.rows.withColumn(out, F.last(value, ignorenulls=True).over(within))
     if cut.hot is not None:
-        per_cell = cut.rows.where(cut.hot & F.col(value).isNotNull()).groupBy(*group, CELL).agg(
-            F.max_by(value, F.struct(*order)).alias("_value"))
-        # cells without a value still need what came before them, so every cell of the group is listed
-        cells = cut.rows.where(cut.hot).select(*group, CELL).distinct()
-        same = F.lit(True)
-        for key in [*group, CELL]:
-            same = same & cells[key].eqNullSafe(per_cell[key])
-        listed = cells.join(per_cell, same, "left").select(*[cells[k] for k in (*group, CELL)], "_value")
+        position = F.when(F.col(value).isNotNull(), F.struct(*order))  # a cell without a value keeps its place
+        per_cell = cut.rows.where(cut.hot).groupBy(*group, CELL).agg(F.max_by(value, position).alias("_value"))
         before = Window.partitionBy(*group).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
-        carry = listed.select(*group, CELL, F.last("_value", ignorenulls=True).over(before).alias("_carry"))
+        carry = per_cell.select(*group, CELL, F.last("_value", ignorenulls=True).over(before).alias("_carry"))
         rows = _add_carry(rows, carry, group).withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry")
     return rows.drop(CELL)
 

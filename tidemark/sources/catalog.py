@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,16 +17,16 @@ def reload_tables(spark: SparkSession, tables: Mapping[str, DataFrame], database
     return [f"{database}.{name}" for name in tables]
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def load_scores(spark: SparkSession, scores_path: str, database: str, folder: str) -> bool:
     """The score mart, only when it has been published."""
-    if not exists(spark, scores_path):
-        return False
-    reload_tables(spark, {"ml_customer_scores": spark.read.parquet(scores_path)}, database, folder)
+    try:
+        scores = spark.read.parquet(scores_path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" in (error.getCondition() or ""):
+            return False
+        raise
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    reload_tables(spark, {"ml_customer_scores": scores}, database, folder)
     return True
 
 
