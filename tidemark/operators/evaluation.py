@@ -129,6 +129,7 @@ def classification_report(df: DataFrame, threshold: float, label: str = "label",
 def risk_band(score: str | Column) -> Column:
     """Right-closed bands."""
     s = F.col(score) if isinstance(score, str) else score
+    # The band limits and names.
     return (F.when(s <= 0.30, "Low").when(s <= 0.55, "Medium").when(s <= 0.75, "High")
             .when(s.isNotNull(), "Critical"))
 

@@ -109,6 +109,7 @@ def name_segments(profile: DataFrame, features: DataFrame, cluster: str = "clust
         return F.col(c) < F.col(f"_m_{c}")
 
     value, engaged, failing, csat, tenure, tickets = compared
+    # The six segment names.
     label = (F.when(~below(value) & ~below(engaged) & ~above(failing), "High-Value Loyal")
              .when(below(engaged) & (above(failing) | below(csat)), "At-Risk Low-Engagement")
              .when(below(tenure) & below(value), "New / Developing")
