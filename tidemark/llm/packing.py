@@ -129,7 +129,7 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         width, level = -(-width // FAN), level + 1
         last = width == 1
 
-        def merge(key: tuple, part: pd.DataFrame, last=last) -> pd.DataFrame:
+        def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
             part = part.sort_values(["fill", "bin"], ascending=[False, True], ignore_index=True)
             bins, offsets, fill = pack(part["fill"].to_numpy(), capacity)
             owner = part["bin"].to_numpy()[np.unique(bins, return_index=True)[1]]

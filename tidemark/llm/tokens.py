@@ -15,7 +15,9 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHED_CHUNKS = 400_000  # a memory bound only: beyond it the cache starts anew
+CACHED_CHUNKS = 1_000_000  # a memory bound only: a full cache is used as it is, and starts anew after as many misses
+
+JOINED = 64
 
 _RUN = re.compile(r"\s \s|\s \Z")
 _CUT = re.compile(r" (?=\S)|(?<!\s) ")
@@ -36,15 +38,24 @@ class ChunkEncoder:
         self._encode, self._special, self._limit = encode_many, tuple(special), limit
         self._inner: dict[str, bytes] = {}
         self._first: dict[str, bytes] = {}
+        self._missed = 0
 
     def _whole(self, text: str) -> bool:
         return any(s in text for s in self._special) or _ODD.search(text) is not None
 
-    def _learn(self, cache: dict[str, bytes], wanted: set[str], lead: str) -> None:
-        if len(cache) + len(wanted) > self._limit:
+    def _known(self, cache: dict[str, bytes], wanted: set[str], lead: str) -> dict[str, bytes]:
+        """The cache if it can hold all that is wanted, else what is wanted alone."""
+        new = list(wanted.difference(cache))
+        found = zip(new, self._encode([lead + p for p in new]), strict=True)
+        if len(cache) + len(new) <= self._limit:
+            cache.update(found)
+            return cache
+        self._missed += len(new)
+        out = {p: cache[p] for p in wanted if p in cache} | dict(found)
+        if self._missed > self._limit:
             cache.clear()
-        new = [p for p in wanted if p not in cache]
-        cache.update(zip(new, self._encode([lead + p for p in new]), strict=True))
+            self._missed = 0
+        return out
 
     def __call__(self, texts: Sequence[str | None]) -> list[bytes]:
         """A null text is an empty one."""
@@ -54,12 +65,15 @@ class ChunkEncoder:
         for i, ids in zip(odd, self._encode([texts[i] for i in odd]), strict=True):
             out[i] = ids
         skip = set(odd)
-        parts = {i: chunks(t) for i, t in enumerate(texts) if i not in skip}
-        self._learn(self._first, {p[0] for p in parts.values()}, "")
-        self._learn(self._inner, set().union(*(p[1:] for p in parts.values())), " ")
-        inner = self._inner.__getitem__
-        for i, p in parts.items():
-            out[i] = self._first[p[0]] + b"".join(map(inner, p[1:]))
+        heads: dict[int, str] = {}
+        rest: dict[int, list[str]] = {}
+        for i, t in enumerate(texts):
+            if i not in skip:
+                heads[i], *rest[i] = chunks(t)
+        first = self._known(self._first, set(heads.values()), "")
+        inner = self._known(self._inner, set().union(*rest.values()), " ").__getitem__
+        for i, parts in rest.items():
+            out[i] = first[heads[i]] + b"".join(map(inner, parts))
         return out
 
 
@@ -74,8 +88,16 @@ def library_encoder(path: str) -> ChunkEncoder:
         special = [t["content"] for t in json.load(f)["added_tokens"]]
 
     def encode_many(texts: list[str]) -> list[bytes]:
-        found = tool.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
+        """Many short texts in one call: the special token, whose id no other text gives, ends each."""
+        if not special or any(s in t for s in special for t in texts):
+            return [np.asarray(e.ids, dtype="<u4").tobytes() for e in tool.encode_batch_fast(texts, add_special_tokens=False)]
+        mark, out = tool.token_to_id(special[0]), []
+        for at in range(0, len(texts), JOINED):
+            joined = special[0].join([*texts[at:at + JOINED], ""])
+            ids = np.asarray(tool.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+            raw, ends = ids.tobytes(), (np.flatnonzero(ids == mark) * 4).tolist()
+            out += [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends)]
+        return out
 
     return ChunkEncoder(encode_many, special)
 
