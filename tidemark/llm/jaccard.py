@@ -1,13 +1,15 @@
 """Documents whose sets of n-word shingles have a Jaccard similarity of at least ``percent`` / 100, joined exactly.
 
-1. Equal sets are collapsed to the smallest doc_id (its group's representative).
-2. Shingles get one global order, rare first: by the number of shingles in their cell (``CELLS`` hash cells counted over
-   all representatives), then by hash. Two sets that link share a shingle among the first n - ceil(n * p) + 1 of each.
-3. Representatives meet in groups by shared prefix shingles: first only by each one's first shared shingle, which
-   already joins most near copies, then by every shared shingle whose documents are not yet in one component.
-4. A group is joined by a trie of the ordered sets: the traversal carries the overlap of shared paths and leaves out
-   subtrees whose set sizes and remaining lengths cannot reach the overlap that a link needs, and subtrees that belong
-   to the probe's own component already. A group above ``BLOCK`` documents is joined block against block.
+1. Equal sets are collapsed: one set stands for all its documents, under their smallest doc_id.
+2. Sets that may link meet in groups. The sets of a size class differ in at most k shingles when they link, so of
+   k + 1 parts into which a hash deals the shingles, one is the same on both sides. A part's hash is a group's token.
+   Parts that are empty in a set are not used as long as the other equal ones must be at least one. (Groups by shared
+   rare shingles instead held every two documents that share a passage; figures in the README.)
+3. Sets meet first only by the smallest token that they share with any other, which already joins most near copies, and
+   then by every shared token whose sets are not yet in one component.
+4. A group is joined by a trie of the sets, each in the global order of hashes: the traversal carries the overlap of
+   shared paths and leaves out subtrees whose set sizes and remaining lengths cannot reach the overlap that a link
+   needs, and subtrees of the probe's own component. A group above ``BLOCK`` sets is joined block against block.
 5. The links that join components give the connected components by repeated spreading of the smallest id.
 
 Null texts and texts without words have an empty set and are linked with nothing. Fewer words than n give one shingle.
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.text import lower_ascii, mix, modest_batches, table, window_hashes, word_hashes, word_spans
 from tidemark.session import settle
 
-CELLS = 1 << 18
+SLACK = 4  # parts that may be empty before empty parts are tokens too
 BLOCK = 2000
 
 
@@ -44,12 +46,44 @@ def needed(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - (-(-percent * n // 100)) + 1
+def size_class(n: int, percent: int) -> tuple[int, int]:
+    """Smallest and largest size of the class of ``n``: classes span two steps of the size ratio of linking sets."""
+    low = 1
+    while (high := max(low, low * 10000 // (percent * percent))) < n:
+        low = high + 1
+    return low, high
 
 
-def in_order(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    return hashes[np.lexsort((hashes, counts[(hashes & np.uint64(len(counts) - 1)).astype(np.int64)]))]
+def parts(n: int, percent: int) -> list[tuple[int, int, int]]:
+    """(largest size of the class, k, number of parts) of the schemes that a set of ``n`` takes part in.
+
+    A pair belongs to the class of its smaller set, so a set also serves the class below if sets there can link with it.
+    """
+    low, high = size_class(n, percent)
+    classes = [high]
+    if low > 1 and percent * n <= 100 * (low - 1):
+        classes.append(low - 1)
+    out = []
+    for most in classes:
+        k = most * (100 - percent) // percent
+        out.append((most, k, k + 1 + min(SLACK, k)))
+    return out
+
+
+def tokens(hashes: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens of the parts of a set."""
+    out = []
+    for most, k, m in parts(len(hashes), percent):
+        own = mix(hashes + np.uint64(most))
+        part = (own % np.uint64(m)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        found, first = np.unique(part[order], return_index=True)
+        sums = np.add.reduceat(mix(own[order]), first)
+        out.append(mix(sums ^ mix(np.uint64(most) * np.uint64(1 << 20) + found.astype(np.uint64))))
+        if m - len(found) >= m - k:
+            empty = np.setdiff1d(np.arange(m), found).astype(np.uint64)
+            out.append(mix(mix(np.uint64(most) * np.uint64(1 << 20) + empty) + np.uint64(1)))
+    return np.unique(np.concatenate(out))
 
 
 @dataclass
@@ -63,6 +97,7 @@ class Node:
     most: int
     docs: list = field(default_factory=list)
     children: dict = field(default_factory=dict)
+    one: int | None = None  # the component of all sets below; None once they were of several
 
 
 class Trie:
@@ -85,6 +120,10 @@ class Trie:
     def insert(self, doc, ordered: tuple) -> None:
         node, at, n = self.root, 0, len(ordered)
         while True:
+            if not node.most:
+                node.one = doc
+            elif node.one is not None and self.find(node.one) != self.find(doc):
+                node.one = None
             node.least, node.most = min(node.least, n), max(node.most, n)
             if at == n:
                 node.docs.append(doc)
@@ -92,7 +131,7 @@ class Trie:
             child = node.children.get(ordered[at])
             if child is None:
                 label = ordered[at:]
-                node.children[ordered[at]] = Node(label, frozenset(label), n, n, n, [doc])
+                node.children[ordered[at]] = Node(label, frozenset(label), n, n, n, [doc], one=doc)
                 return
             same = 0
             for x, y in zip(child.label, ordered[at:]):
@@ -100,7 +139,7 @@ class Trie:
                     break
                 same += 1
             if same < len(child.label):
-                top = Node(child.label[:same], frozenset(child.label[:same]), at + same, child.least, child.most)
+                top = Node(child.label[:same], frozenset(child.label[:same]), at + same, child.least, child.most, one=child.one)
                 child.label = child.label[same:]
                 child.members = frozenset(child.label)
                 top.children[child.label[0]] = child
@@ -113,6 +152,8 @@ class Trie:
         stack = [(self.root, 0)]
         while stack:
             node, overlap = stack.pop()
+            if node.one is not None and self.find(node.one) == self.find(doc):
+                continue
             overlap += len(mine & node.members)
             if node.docs and overlap >= needed(n, node.depth, percent):
                 for other in node.docs:
@@ -124,8 +165,6 @@ class Trie:
                 rest = min(child.most - node.depth, n - overlap)
                 if overlap + rest < needed(n, max(child.least, -(-percent * n // 100)), percent):
                     continue
-                if not child.children and all(self.find(d) == self.find(doc) for d in child.docs):
-                    continue
                 stack.append((child, overlap))
 
 
@@ -151,44 +190,24 @@ def _sets(docs: DataFrame, columns: list[str], make: Callable, schema: str) -> D
 
 
 def digests(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles and 128 bits of the set (null for an empty one)."""
+    """doc_id, n_shingles and 128 bits of the set as two longs (null for an empty one)."""
     def make(batch):
-        found = [shingles(t, n) for t in batch.column(1).to_pylist()]
-        sums = [(int(s.sum(dtype=np.uint64)), int(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))) if len(s) else None
-                for s in found]
-        yield pa.RecordBatch.from_arrays([
-            batch.column(0), pa.array([len(s) for s in found], pa.int64()),
-            pa.array([None if s is None else f"{s[0]:016x}{s[1]:016x}" for s in sums], pa.string())],
-            ["doc_id", "n_shingles", "digest"])
-
-    return _sets(docs, ["doc_id", "text"], make, "doc_id long, n_shingles long, digest string")
-
+        found = [digest(shingles(t, n)) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*found))],
+                                         ["doc_id", "n_shingles", "d", "e"])
 
-def cell_counts(docs: DataFrame, n: int, cells: int) -> np.ndarray:
-    """Shingles per cell over all documents: one array of ``cells`` numbers a task, added up."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(cells, np.int64)
-        for batch in batches:
-            for t in batch.column(0).to_pylist():
-                np.add.at(counts, (shingles(t, n) & np.uint64(cells - 1)).astype(np.int64), 1)
-        at = np.flatnonzero(counts)
-        for k in range(0, len(at), 65536):
-            yield pa.RecordBatch.from_arrays([pa.array(at[k:k + 65536].astype(np.int32)), pa.array(counts[at[k:k + 65536]])], ["cell", "n"])
-
-    out = np.zeros(cells, np.int64)
-    for row in docs.select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():
-        out[row["cell"]] = row["n"]
-    return out
+    return _sets(docs, ["doc_id", "text"], make, "doc_id long, n_shingles long, d long, e long")
 
 
-def _ordered(text: str, n: int, counts: np.ndarray) -> tuple:
-    return tuple(in_order(shingles(text, n), counts).tolist())
+def digest(s: np.ndarray) -> tuple:
+    if not len(s):
+        return 0, None, None
+    d, e = mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
+    return len(s), int(d.view(np.int64)), int(e.view(np.int64))
 
 
-def _group_links(members: DataFrame, texts: DataFrame, n: int, percent: int, counts, name: str) -> DataFrame:
+def _group_links(members: DataFrame, texts: DataFrame, n: int, percent: int, name: str) -> DataFrame:
     """Links (component, smaller) found inside groups of members (token, doc_id, component)."""
-    spark = members.sparkSession
-    held = spark.sparkContext.broadcast(counts)
     # A group above BLOCK is dealt into blocks by hash; each pair of blocks is a group of its own.
     sized = members.join(members.groupBy("token").agg(F.count(F.lit(1)).alias("size")), "token")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -200,7 +219,7 @@ def _group_links(members: DataFrame, texts: DataFrame, n: int, percent: int, cou
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         a, b = int(part["a"].iloc[0]), int(part["b"].iloc[0])
-        sets = [_ordered(t, n, held.value) for t in part["text"]]
+        sets = [tuple(shingles(t, n).tolist()) for t in part["text"]]
         side = None if a == b else [int(x == b) for x in part["own"]]
         links = join_group(part["doc_id"].tolist(), part["component"].tolist(), sets, percent, side)
         return pd.DataFrame(links, columns=["component", "smaller"]).astype("int64")
@@ -226,54 +245,48 @@ def smallest_reachable(links: DataFrame, a: str, b: str, name: str) -> DataFrame
             return labels.select(F.col("x").alias("node"), F.col("label").alias("smallest"))
 
 
-def components(docs: DataFrame, n: int = 4, percent: int = 85, cells: int = CELLS) -> DataFrame:
+def components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
     docs = docs.select("doc_id", "text")
     sized = settle(digests(docs, n), "digests")
-    reps = settle(sized.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles")), "representatives")
-    counts = cell_counts(docs, n, cells)
-    held = docs.sparkSession.sparkContext.broadcast(counts)
-
-    def prefixes(batch):
-        ids, tokens, ends = batch.column(0).to_pylist(), [], [0]
-        for t in batch.column(1).to_pylist():
-            ordered = in_order(shingles(t, n), held.value)
-            tokens.append(ordered[:prefix_length(len(ordered), percent)] if len(ordered) else ordered)
-            ends.append(ends[-1] + len(tokens[-1]))
-        flat = np.concatenate(tokens).view(np.int64) if tokens else np.zeros(0, np.int64)
-        place = np.concatenate([np.arange(len(x), dtype=np.int32) for x in tokens]) if tokens else np.zeros(0, np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.asarray([i if i is not None else -1 for i in ids], np.int64), np.diff(ends))),
-                                          pa.array(flat), pa.array(place)], ["doc_id", "token", "place"])
-
-    # Only representatives and only shingles that two of them share go on.
-    only = reps.select(F.col("rep").alias("doc_id"))
-    every = _sets(docs.where("doc_id IS NOT NULL"), ["doc_id", "text"], prefixes, "doc_id long, token long, place int")
-    shared = every.withColumn("least", F.min("doc_id").over(Window.partitionBy("token"))).withColumn(
-        "most", F.max("doc_id").over(Window.partitionBy("token"))).where("least < most").drop("least", "most")
-    shared = shared.join(only, "doc_id", "left_semi").distinct()
-    lone = shared.groupBy("token").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    shared = settle(shared.join(lone.select("token"), "token", "left_semi"), "shared")
+    reps = settle(sized.where("d IS NOT NULL").groupBy("d", "e").agg(F.min("doc_id").alias("rep")), "representatives")
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # a task gives the tokens of equal sets once
+        for batch in batches:
+            found, ids = [], []
+            for t in batch.column(0).to_pylist():
+                s = shingles(t, n)
+                d = digest(s)[1]
+                if d is not None and d not in seen:
+                    seen.add(d)
+                    found.append(tokens(s, percent).view(np.int64))
+                    ids.append(np.full(len(found[-1]), d, np.int64))
+            flat = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in (found, ids)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in flat], ["token", "d"])
+
+    group = Window.partitionBy("token")
+    shared = docs.select("text").mapInArrow(make, "token long, d long").withColumns({
+        "least": F.min("d").over(group), "most": F.max("d").over(group)}).where("least < most").select("token", "d").distinct()
+    shared = settle(shared.join(reps.where("rep IS NOT NULL"), "d").select("token", F.col("rep").alias("doc_id")), "shared")
     wanted = shared.select("doc_id").distinct()
     texts = settle(docs.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text")), "candidates")
 
-    first = shared.groupBy("doc_id").agg(F.min_by("token", "place").alias("token")).withColumn("component", F.col("doc_id"))
-    found = _group_links(first, texts, n, percent, counts, "links-1")
+    first = shared.groupBy("doc_id").agg(F.min("token").alias("token")).withColumn("component", F.col("doc_id"))
+    found = _group_links(first, texts, n, percent, "links-1")
     joined = smallest_reachable(found, "component", "smaller", "joined-1")
-    placed = shared.select("token", "doc_id").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "token", "doc_id", F.coalesce("smallest", "doc_id").alias("component"))
-    open_ = placed.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
-    # Groups with the same documents are joined once: the smallest token of each set of members stands for all.
-    left = settle(placed.join(open_.select("token"), "token", "left_semi"), "open")
-    same = left.groupBy("token").agg(F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("s"),
-                                     F.sum(F.xxhash64("doc_id", F.lit(1)).cast("decimal(38,0)")).alias("z"))
-    one = same.groupBy("k", "s", "z").agg(F.min("token").alias("token")).select("token")
-    more = _group_links(left.join(one, "token", "left_semi"), texts, n, percent, counts, "links-2")
-    links = found.unionByName(more)
-    final = smallest_reachable(links, "component", "smaller", "joined-2")
+    placed = settle(shared.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "token", "doc_id", F.coalesce("smallest", "doc_id").alias("component")), "placed")
+    group = placed.groupBy("token").agg(
+        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("k"),
+        F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("s"), F.sum(F.xxhash64("doc_id", F.lit(1)).cast("decimal(38,0)")).alias("z"))
+    # Groups with the same members are joined once: the smallest token stands for all.
+    one = group.where("least < most").groupBy("k", "s", "z").agg(F.min("token").alias("token")).select("token")
+    more = _group_links(placed.join(one, "token", "left_semi"), texts, n, percent, "links-2")
+    final = smallest_reachable(found.unionByName(more), "component", "smaller", "joined-2")
     named = reps.join(final, F.col("rep") == F.col("node"), "left").select(
-        "digest", F.coalesce("smallest", "rep").alias("component_id"))
-    return sized.join(named, "digest", "left").select(
+        "d", "e", F.coalesce("smallest", "rep").alias("component_id"))
+    return sized.join(named, ["d", "e"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
