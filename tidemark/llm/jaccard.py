@@ -277,12 +277,17 @@ def components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     joined = smallest_reachable(found, "component", "smaller", "joined-1")
     placed = settle(shared.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "token", "doc_id", F.coalesce("smallest", "doc_id").alias("component")), "placed")
-    group = placed.groupBy("token").agg(
-        F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("k"),
-        F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("s"), F.sum(F.xxhash64("doc_id", F.lit(1)).cast("decimal(38,0)")).alias("z"))
-    # Groups with the same members are joined once: the smallest token stands for all.
-    one = group.where("least < most").groupBy("k", "s", "z").agg(F.min("token").alias("token")).select("token")
-    more = _group_links(placed.join(one, "token", "left_semi"), texts, n, percent, "links-2")
+    group = placed.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    open_ = settle(placed.join(group.select("token", "least"), "token"), "open")
+    # Components that open tokens tie together meet once, as a cluster; clusters above BLOCK meet token by token.
+    ties = smallest_reachable(open_.where("component <> least"), "component", "least", "ties")
+    members = settle(placed.select("doc_id", "component").distinct().join(ties, F.col("component") == F.col("node")).select(
+        F.col("smallest").alias("token"), "doc_id", "component"), "members")
+    large = members.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > BLOCK).select(F.col("token").alias("large"))
+    more = _group_links(members.join(large, F.col("token") == F.col("large"), "left_anti"), texts, n, percent, "links-2")
+    if not large.isEmpty():
+        far = members.join(large, F.col("token") == F.col("large"), "left_semi").select("doc_id")
+        more = more.unionByName(_group_links(open_.drop("least").join(far, "doc_id", "left_semi"), texts, n, percent, "links-3"))
     final = smallest_reachable(found.unionByName(more), "component", "smaller", "joined-2")
     named = reps.join(final, F.col("rep") == F.col("node"), "left").select(
         "d", "e", F.coalesce("smallest", "rep").alias("component_id"))

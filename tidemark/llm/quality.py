@@ -38,8 +38,12 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def repeat_words(w: Column) -> Column:
-    """Words in three-word windows that occur twice or more in ``w``."""
+def repeat_words(words_: Column) -> Column:
+    """Words in three-word windows that occur twice or more."""
+    return bind(words_, _repeat_words)  # bound, as a filter would else split the text anew for every window
+
+
+def _repeat_words(w: Column) -> Column:
     windows = F.when(F.size(w) >= 3, F.transform(
         F.sequence(F.lit(0), F.size(w) - 3),
         lambda i: F.struct(F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))).otherwise(
