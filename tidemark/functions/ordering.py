@@ -23,7 +23,7 @@ from tidemark.session import settle
 
 CELL = "_cell"
 ROWS_PER_CELL = 16  # sampled keys that make one cell
-MAX_CELLS = 512
+CELL_ROWS = 1_000_000  # rows that a cell is meant to hold; the number of cells follows from it, without a ceiling
 
 
 @dataclass(frozen=True)
@@ -42,9 +42,11 @@ def _key_literal(df: DataFrame, row, keys: Sequence[str]) -> Column:
     return F.struct(*[_literal(row[k], df.schema[k].dataType).alias(k) for k in keys])
 
 
-def sample_keys(df: DataFrame, keys: Sequence[str], size: int) -> list:
-    """``size`` rows with the smallest key hash, in key order: a uniform, repeatable sample of bounded size."""
-    return df.select(*keys).orderBy(F.xxhash64(*keys), *keys).limit(size).orderBy(*keys).collect()
+def sample_keys(df: DataFrame, keys: Sequence[str], size: int, rows: int) -> list:
+    """About ``size`` of ``rows`` rows, those with a key hash below a threshold, in key order. Every task keeps its own
+    share, and a row is chosen by its key alone, so the sample is the same each time."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(1 << 40))
+    return df.select(*keys).where(place < int((1 << 40) * min(1.0, size / rows))).orderBy(*keys).collect()
 
 
 def _bounds_below(bounds: list[Column], row: Column) -> Column:
@@ -62,14 +64,15 @@ def cut_cells(df: DataFrame, group: Sequence[str], order: Sequence[str], cells:
               rows_per_cell: int = ROWS_PER_CELL) -> Cells:
     """Number the cells. ``group + order`` must be (nearly) unique for the cells to be even."""
     group, order = list(group), list(order)
+    rows = df.count()
     if cells is None:
         width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        cells = max(8, min(width, MAX_CELLS))
+        cells = max(8, width, -(-rows // CELL_ROWS))
     keys = group + order
-    sample = sample_keys(df, keys, cells * rows_per_cell)
     whole = df.withColumn(CELL, F.lit(0))
-    if len(sample) < cells * rows_per_cell:  # the sample is the whole table: nothing is large
+    if rows < cells * rows_per_cell:  # nothing is large
         return Cells(whole, None)
+    sample = sample_keys(df, keys, cells * rows_per_cell, rows)
     per_group = Counter(tuple(row[g] for g in group) for row in sample)
     large = {g for g, n in per_group.items() if n >= rows_per_cell}
     if not large:

@@ -71,8 +71,9 @@ def cohort_retention(customers: DataFrame, subscriptions: DataFrame, months: Seq
         day = F.add_months("registration_date", k)
         return flag((F.col("_from") <= day) & (F.col("_to") >= day))
 
-    per_customer = base.join(spans, "customer_id", "left").groupBy("customer_id", "registration_date").agg(
-        *[F.max(covered(k)).alias(f"r{k}") for k in months])
+    # An inner join, so a customer with very many subscriptions can be split; then one row per customer is attached.
+    flags = base.join(spans, "customer_id").groupBy("customer_id").agg(*[F.max(covered(k)).alias(f"r{k}") for k in months])
+    per_customer = base.join(flags, "customer_id", "left")
     return (per_customer.groupBy(month("registration_date").alias("cohort_month"))
             .agg(F.count(F.lit(1)).alias("cohort_size"),
                  *[pct(F.sum(f"r{k}"), F.count(F.lit(1))).alias(f"retention_{k}m_pct") for k in months])

@@ -80,14 +80,14 @@ def price_change_engagement(subscriptions: DataFrame, viewing: DataFrame, days:
     recent = changes.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").select(
         "customer_id", F.col("subscription_start_date").alias("change_date"), "old_price",
         F.col("monthly_price").alias("new_price"))
-    views = viewing.select("customer_id", "viewing_date", "watch_duration_minutes")
+    views = viewing.groupBy("customer_id", "viewing_date").agg(  # a row per customer and day before the join
+        F.sum("watch_duration_minutes").alias("_minutes"), F.count("watch_duration_minutes").alias("_views"))
     offset = F.datediff("viewing_date", "change_date")
-    minutes = F.col("watch_duration_minutes")
-    before, after = F.when(offset.between(-days, -1), minutes), F.when(offset.between(0, days - 1), minutes)
+    before, after = offset.between(-days, -1), offset.between(0, days - 1)
     keys = ["customer_id", "change_date", "old_price", "new_price"]
     sums = recent.join(views, "customer_id", "left").groupBy(*keys).agg(
-        F.sum(before).alias("_sb"), F.count(before).alias("_nb"),
-        F.sum(after).alias("_sa"), F.count(after).alias("_na"))
+        F.sum(F.when(before, F.col("_minutes"))).alias("_sb"), F.sum(F.when(before, F.col("_views")).otherwise(0)).alias("_nb"),
+        F.sum(F.when(after, F.col("_minutes"))).alias("_sa"), F.sum(F.when(after, F.col("_views")).otherwise(0)).alias("_na"))
     change = ratio(100 * (F.col("_sa") * F.col("_nb") - F.col("_sb") * F.col("_na")), F.col("_sb") * F.col("_na"))
     return sums.select(*keys, ratio("_sb", "_nb", 6).alias("avg_watch_before"),
                        ratio("_sa", "_na", 6).alias("avg_watch_after"), change.alias("pct_change")

@@ -98,7 +98,7 @@ def win_back(customers: DataFrame, payments: DataFrame, churn_labels: DataFrame,
     targets = top.join(gone, "customer_id").select("customer_id", "clv", "churn_date", "churn_reason")
     near_end = F.datediff("churn_date", "viewing_date").between(0, days)
     minutes = F.coalesce(F.sum(F.when(near_end, F.col("watch_duration_minutes"))), F.lit(0)).cast("bigint")
-    views = viewing.select("customer_id", "viewing_date", "watch_duration_minutes")
+    views = viewing.groupBy("customer_id", "viewing_date").agg(F.sum("watch_duration_minutes").alias("watch_duration_minutes"))
     joined = targets.join(views, "customer_id", "left").groupBy("customer_id", "clv", "churn_reason").agg(
         minutes.alias("last30_watch_minutes"))
     watched = F.col("last30_watch_minutes")
