@@ -3,8 +3,9 @@
 1. Equal sets are collapsed: one set stands for all its documents, under their smallest doc_id.
 2. Sets that may link meet in groups. The sets of a size class differ in at most k shingles when they link, so of
    k + 1 parts into which a hash deals the shingles, one is the same on both sides. A part's hash is a group's token.
-   Parts that are empty in a set are not used as long as the other equal ones must be at least one. (Groups by shared
-   rare shingles instead held every two documents that share a passage; figures in the README.)
+   There are some more parts than that, and a set leaves out as many, its smallest ones: a part of one or two shingles
+   is equal in many texts that share no more than a passage. (Groups by shared rare shingles instead held every two
+   documents that share a passage; figures in the README.)
 3. Sets meet first only by the smallest token that they share with any other, which already joins most near copies, and
    then by every shared token whose sets are not yet in one component.
 4. A group is joined by a trie of the sets, each in the global order of hashes: the traversal carries the overlap of
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.text import lower_ascii, mix, modest_batches, table, window_hashes, word_hashes, word_spans
 from tidemark.session import settle
 
-SLACK = 4  # parts that may be empty before empty parts are tokens too
+SLACK, SLACK_SHARE = 4, 8  # parts above k + 1: so many at least, and one for so many of k
 BLOCK = 2000
 
 
@@ -66,23 +67,26 @@ def parts(n: int, percent: int) -> list[tuple[int, int, int]]:
     out = []
     for most in classes:
         k = most * (100 - percent) // percent
-        out.append((most, k, k + 1 + min(SLACK, k)))
+        out.append((most, k, k + 1 + min(k, max(SLACK, k // SLACK_SHARE))))
     return out
 
 
 def tokens(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """Tokens of the parts of a set."""
+    """Tokens of the parts of a set, less the m - k - 1 smallest parts of each scheme.
+
+    Linking sets have m - k equal parts. Parts are ordered by size and token, which are the same on both sides, so the
+    last of the equal parts has m - k - 1 others before it in either set and is left out in neither.
+    """
     out = []
     for most, k, m in parts(len(hashes), percent):
         own = mix(hashes + np.uint64(most))
         part = (own % np.uint64(m)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         found, first = np.unique(part[order], return_index=True)
-        sums = np.add.reduceat(mix(own[order]), first)
-        out.append(mix(sums ^ mix(np.uint64(most) * np.uint64(1 << 20) + found.astype(np.uint64))))
-        if m - len(found) >= m - k:
-            empty = np.setdiff1d(np.arange(m), found).astype(np.uint64)
-            out.append(mix(mix(np.uint64(most) * np.uint64(1 << 20) + empty) + np.uint64(1)))
+        sums = np.zeros(m, np.uint64)
+        sums[found] = np.add.reduceat(mix(own[order]), first)
+        made = mix(sums ^ mix(np.uint64(most) * np.uint64(1 << 20) + np.arange(m, dtype=np.uint64)))
+        out.append(made[np.lexsort((made, np.bincount(part, minlength=m)))[m - k - 1:]])
     return np.unique(np.concatenate(out))
 
 
