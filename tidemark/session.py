@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+_own: dict[str, str] = {}
+
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
@@ -39,13 +41,13 @@ def size_shuffle(spark: SparkSession, shuffled_bytes: int) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors reach: the one in spark.checkpoint.dir. Without that setting a local master gets a folder of
     its own, which goes when the process ends; a cluster is refused, as its machines would not see each other's files."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own.get("folder")
     if not folder:
         if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", folder)
+        _own["folder"] = folder  # kept here, as a running session cannot change the setting
     return folder
 
 
