@@ -39,7 +39,7 @@ def weighted_terms(text: Column) -> Column:
             F.get(s, i).alias("h"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("w"))))
 
     pairs = bind(words(text), lambda w: F.transform(w, lambda x, i: F.xxhash64(F.coalesce(F.get(w, i - 1), F.lit("")), x)))
-    return bind(F.array_sort(pairs), counted)
+    return bind(F.sort_array(pairs), counted)
 
 
 def signature(text: Column, bins: int = BINS) -> Column:
@@ -49,14 +49,15 @@ def signature(text: Column, bins: int = BINS) -> Column:
         r = -F.ln(_uniform(h, 1, True) * _uniform(h, 1, False))
         c = -F.ln(_uniform(h, 2, True) * _uniform(h, 2, False))
         b = _uniform(h, 3, True)
-        return bind(F.struct(r.alias("r"), b.alias("b"), F.floor(F.ln(term["w"]) / r + b).alias("t"), c.alias("c")), lambda s: F.struct(
-            F.pmod(h, F.lit(bins)).alias("bin"), (F.ln(s["c"]) - s["r"] * (s["t"] - s["b"] + 1)).alias("rank"),
-            F.xxhash64(h, s["t"]).bitwiseAND(F.lit(0xFFFFFFFF)).alias("id")))
+        drawn = F.struct(r.alias("r"), b.alias("b"), c.alias("c"))  # bound, as r and b are used more than once
+        return bind(drawn, lambda s: bind(F.floor(F.ln(term["w"]) / s["r"] + s["b"]), lambda t: F.struct(
+            F.pmod(h, F.lit(bins)).alias("bin"), (F.ln(s["c"]) - s["r"] * (t - s["b"] + 1)).alias("rank"),
+            F.xxhash64(h, t).bitwiseAND(F.lit(0xFFFFFFFF)).alias("id"))))
 
     def least(s: Column) -> Column:
         return F.filter(s, lambda x, i: F.coalesce(F.get(s, i - 1)["bin"] != x["bin"], F.lit(True)))
 
-    found = bind(F.array_sort(F.transform(weighted_terms(text), sample)), least)
+    found = bind(F.sort_array(F.transform(weighted_terms(text), sample)), least)
     return F.transform(found, lambda x: x["bin"] * F.lit(1 << 32) + x["id"])
 
 

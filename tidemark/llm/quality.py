@@ -53,7 +53,7 @@ def _repeat_words(w: Column) -> Column:
         return F.filter(s, lambda x, k: F.coalesce(F.get(s, k - 1)["h"] == x["h"], F.lit(False))
                         | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False)))
 
-    starts = F.array_sort(F.transform(bind(F.array_sort(windows), again), lambda x: x["i"]))
+    starts = F.sort_array(F.transform(bind(F.sort_array(windows), again), lambda x: x["i"]))
     return F.aggregate(
         starts, F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n")),
         lambda a, i: F.struct((i + 3).alias("end"), (a["n"] + i + 3 - F.greatest(a["end"], i)).alias("n")),
