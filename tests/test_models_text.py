@@ -10,6 +10,7 @@ from tidemark.operators import evaluation as ev
 from tidemark.operators import explain, policy, retrieval, segments
 from tidemark.sources import guarded
 from tidemark.sources.bindings import Bound
+from tidemark.session import shared_dir
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -178,7 +179,7 @@ def test_guard_stops_the_rest(inner, text):
 
 def test_guard_does_not_see_other_views_or_saved_tables(spark, inner):
     spark.range(3).createOrReplaceTempView("callers_own")
-    spark.range(3).write.mode("overwrite").option("path", f"{spark.conf.get('spark.checkpoint.dir')}/hidden").saveAsTable("tidemark_hidden.secret")
+    spark.range(3).write.mode("overwrite").option("path", f"{shared_dir(spark)}/hidden").saveAsTable("tidemark_hidden.secret")
     for text in ("SELECT * FROM callers_own", "SELECT * FROM tidemark_hidden.secret"):
         with pytest.raises(ValueError):
             guarded.validate_sql(text, inner)
