@@ -141,6 +141,37 @@ def test_fingerprint_share_is_the_generalised_jaccard(spark):
     assert abs(df.select(fingerprints.likeness(*sig).alias("x")).first()["x"] - exact) < 0.08
 
 
+def _numbered(n, seed):
+    return " ".join(f"{seed}x{k}" for k in range(n))
+
+
+@pytest.mark.parametrize(("a", "b"), [
+    ("same " * 1000 + _numbered(100, 1), "same " * 1000 + _numbered(100, 2)),
+    ((_numbered(8, 1) + "\n") * 60 + _numbered(150, 2), (_numbered(8, 1) + "\n") * 60 + _numbered(150, 3)),
+    (_numbered(3000, 1), _numbered(3000, 1) + " " + _numbered(2000, 2))])
+def test_fingerprints_of_repeated_phrases(spark, a, b):
+    """Skewed weights, and more terms than are drawn at a time, at the registered samples: the mean over 20 renamed pairs of texts."""
+    bags = [Counter(zip(["", *x], x)) for x in (a.split(), b.split())]
+    exact = sum((bags[0] & bags[1]).values()) / sum((bags[0] | bags[1]).values())
+    pairs = [tuple(" ".join(f"{w}y{i}" for w in x.split()) for x in (a, b)) for i in range(20)]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    alike = fingerprints.likeness(*[fingerprints.signature(df[c]) for c in "ab"])
+    got = [r["x"] for r in df.select(alike.alias("x")).collect()]
+    assert abs(np.mean(got) - exact) < 4 * (exact * (1 - exact) / (20 * fingerprints.BINS)) ** 0.5
+
+
+@pytest.mark.parametrize("n", [1, 3, 500, 3000])
+def test_left_out_draws_never_win(n):
+    """Samples with a limit on the draws looked at are those of all draws."""
+    dice = np.random.default_rng(n)
+    terms = np.unique(dice.integers(1, 1 << 63, n).astype(np.uint64))
+    weights = np.where(dice.random(len(terms)) < 0.2, dice.integers(1, 2000, len(terms)), 1)
+    salts = fingerprints.mix(np.arange(1, 65, dtype=np.uint64) * fingerprints._STEP)
+    _, chosen, step = fingerprints._least(terms, weights, salts, np.inf)
+    ids = fingerprints.mix(chosen + step.astype(np.uint64) * fingerprints._STEP) & np.uint64(0xFFFFFFFF)
+    assert (fingerprints.samples(terms, weights) == (np.arange(64) << 32) + ids.astype(np.int64)).all()
+
+
 def test_personal_data(spark, corpus, texts):
     got = {r["doc_id"]: r for r in rows(spark, "op8_pii_spans", corpus)}
     r, t = got[11], dict(texts)[11]

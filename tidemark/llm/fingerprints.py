@@ -1,11 +1,12 @@
 """Document fingerprints by consistent weighted sampling.
 
 A term is a pair of neighbouring words (the first word also follows an empty one); its weight is how often it occurs.
-For a term with weight w, r and c are Gamma(2, 1) and b is uniform, all taken from the term's hash; the sample is
-t = floor(ln w / r + b) with rank ln c - r (t - b + 1). A fingerprint has ``BINS`` bins: the term's hash chooses the
-bin, and the bin keeps the term and t of the smallest rank. Two texts agree in a bin with the probability of their
-generalised Jaccard similarity there, so the share of agreeing bins among those that either text fills estimates it.
-(One draw per term and bin, not one per term and bin for all bins: see the README.) Everything is column expressions.
+A fingerprint has ``BINS`` samples, and every term competes in every sample: for a term with weight w, r and c are
+Gamma(2, 1) and b is uniform, all taken from the hash of the term and the number of the sample. t = floor(ln w / r + b)
+with rank ln c - r (t - b + 1); the sample keeps the term and t of the smallest rank. Two texts agree in a sample with
+the probability of their generalised Jaccard similarity, so the share of agreeing samples estimates it.
+
+The draws are made with numpy inside tasks, ``CHUNK`` terms at a time. Terms are 64-bit hashes of word pairs.
 
 A null or empty text has no terms and an empty fingerprint; two empty fingerprints are alike with 1, an empty and a
 filled one with 0. The next document is the next row by doc_id (null first, repeated ids in the order of their
@@ -14,55 +15,91 @@ texts); a single document is its own next.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.quality import bind, words
-from tidemark.llm.text import table
+from tidemark.llm.text import mix, modest_batches, table, window_hashes, word_hashes, word_spans
 
 BINS = 64
+CHUNK = 1024  # terms whose draws are held at a time
 
+_LOW, _HALF = np.uint64(0xFFFFFFFF), np.uint64(32)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
-def _uniform(h: Column, salt: int, high: bool) -> Column:
-    """In (0, 1), from 32 bits of a hash."""
-    bits = F.xxhash64(h, F.lit(salt))
-    half = F.shiftrightunsigned(bits, 32) if high else bits.bitwiseAND(F.lit(0xFFFFFFFF))
-    return (half.cast("double") + 0.5) / F.lit(4294967296.0)
 
+def weighted_terms(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct word pairs of UTF-8 bytes by hash, in order, and how often each occurs."""
+    found = word_hashes(raw, *word_spans(raw))
+    return np.unique(window_hashes(np.concatenate((np.zeros(1, np.uint64), found)), 2), return_counts=True)
 
-def weighted_terms(text: Column) -> Column:
-    """Array of (h, w): distinct word pairs by hash and how often each occurs."""
-    def counted(s: Column) -> Column:
-        starts = F.filter(F.transform(s, lambda x, i: F.when(F.coalesce(F.get(s, i - 1) != x, F.lit(True)), i)),
-                          lambda i: i.isNotNull())
-        return bind(starts, lambda at: F.transform(at, lambda i, k: F.struct(
-            F.get(s, i).alias("h"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("w"))))
 
-    pairs = bind(words(text), lambda w: F.transform(w, lambda x, i: F.xxhash64(F.coalesce(F.get(w, i - 1), F.lit("")), x)))
-    return bind(F.sort_array(pairs), counted)
+def _uniforms(bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In (0, 1), from both halves of a hash."""
+    u, v = (bits >> _HALF).astype(np.float64), (bits & _LOW).astype(np.float64)
+    for x in (u, v):
+        x += 0.5
+        x *= 2.0 ** -32
+    return u, v
 
 
-def signature(text: Column, bins: int = BINS) -> Column:
-    """The filled bins, each as bin * 2**32 + 32 bits of its sample, by bin."""
-    def sample(term: Column) -> Column:
-        h = term["h"]
-        r = -F.ln(_uniform(h, 1, True) * _uniform(h, 1, False))
-        c = -F.ln(_uniform(h, 2, True) * _uniform(h, 2, False))
-        b = _uniform(h, 3, True)
-        drawn = F.struct(r.alias("r"), b.alias("b"), c.alias("c"))  # bound, as r and b are used more than once
-        return bind(drawn, lambda s: bind(F.floor(F.ln(term["w"]) / s["r"] + s["b"]), lambda t: F.struct(
-            F.pmod(h, F.lit(bins)).alias("bin"), (F.ln(s["c"]) - s["r"] * (t - s["b"] + 1)).alias("rank"),
-            F.xxhash64(h, t).bitwiseAND(F.lit(0xFFFFFFFF)).alias("id"))))
+def _least(terms: np.ndarray, weights: np.ndarray, salts: np.ndarray, limit: float) -> tuple[np.ndarray, ...]:
+    """Rank, term and t of the smallest rank of every salt, among the ranks that can lie below ln ``limit``.
 
-    def least(s: Column) -> Column:
-        return F.filter(s, lambda x, i: F.coalesce(F.get(s, i - 1)["bin"] != x["bin"], F.lit(True)))
+    With r = -ln q and c = -ln p, exp(rank) is at least (1 - p) q / w: only draws with less than ``limit`` there need logs.
+    """
+    rows = np.arange(len(salts))
+    best, chosen, step = np.full(len(salts), np.inf), np.zeros(len(salts), np.uint64), np.zeros(len(salts), np.int64)
+    for at in range(0, len(terms), CHUNK):
+        h, w = terms[at:at + CHUNK], weights[at:at + CHUNK].astype(np.float64)
+        first = mix(h ^ salts[:, None])
+        second = mix(first + _STEP)
+        q, v = _uniforms(first)
+        q *= v
+        p, v = _uniforms(second)
+        p *= v
+        np.subtract(1.0, p, out=v)
+        v *= q
+        v /= w
+        k = np.flatnonzero(v < limit)
+        r, c, b = -np.log(q.ravel()[k]), -np.log(p.ravel()[k]), _uniforms(mix(second.ravel()[k] + _STEP))[0]
+        t = np.floor(np.log(w)[k % len(h)] / r + b)
+        rank, steps = np.full(v.shape, np.inf), np.zeros(v.shape)
+        rank.ravel()[k], steps.ravel()[k] = np.log(c) - r * (t - b + 1), t
+        least = rank.argmin(axis=1)
+        lower = rank[rows, least] < best
+        best = np.where(lower, rank[rows, least], best)
+        chosen, step = np.where(lower, h[least], chosen), np.where(lower, steps[rows, least].astype(np.int64), step)
+    return best, chosen, step
+
+
+def samples(terms: np.ndarray, weights: np.ndarray, bins: int = BINS) -> np.ndarray:
+    """For every sample its number * 2**32 + 32 bits of the term and t of the smallest rank; none without terms."""
+    if not len(terms):
+        return np.zeros(0, dtype=np.int64)
+    rows, salts = np.arange(bins), mix(np.arange(1, bins + 1, dtype=np.uint64) * _STEP)
+    limit = 8.0 / weights.sum()  # exp(rank) of a sample is exponential with the sum of weights: above this in 1 of 3,000
+    best, chosen, step = _least(terms, weights, salts, limit)
+    above = np.flatnonzero(~(best < np.log(limit)))
+    if len(above):
+        best[above], chosen[above], step[above] = _least(terms, weights, salts[above], np.inf)
+    return (rows << 32) + (mix(chosen + step.astype(np.uint64) * _STEP) & _LOW).astype(np.int64)
+
+
+def _signatures(texts: pa.Array, bins: int) -> pa.Array:
+    found = [samples(*weighted_terms((x or "").encode()), bins) for x in texts.to_pylist()]
+    ends = np.cumsum([0, *map(len, found)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *found]), pa.int64()))
 
-    found = bind(F.sort_array(F.transform(weighted_terms(text), sample)), least)
-    return F.transform(found, lambda x: x["bin"] * F.lit(1 << 32) + x["id"])
+
+def signature(text: Column, bins: int = BINS) -> Column:
+    """The samples of a text, by number: none where it has no words."""
+    return F.arrow_udf(lambda texts: _signatures(texts, bins), "array<bigint>")(text)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Agreeing bins among the bins that either side fills."""
+    """Agreeing samples among the samples that either side fills."""
     def filled(s):
         return F.transform(s, lambda x: F.shiftright(x, 32))
 
@@ -139,4 +176,5 @@ def fingerprint_pairs(docs: DataFrame) -> DataFrame:
 
 def op7_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
+    modest_batches(spark)
     return fingerprint_pairs(table(spark, sf_dir, "documents"))
