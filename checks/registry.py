@@ -207,11 +207,6 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-# A short training run: the same jobs as the full settings with fewer trees and rounds.
-SHORT = churn.ChurnSettings(folds=3, trees=10, tree_depth=6, rounds=5, step=0.1, iterations=20)
-SHORT_CLV = clv.ClvSettings(trees=10, tree_depth=6, rounds=5, step=0.1)
-
-
 def _split(t: Bound) -> tuple[DataFrame, DataFrame]:
     split = evaluation.hold_out(churn.labelled(feature_table(t)), "customer_id")
     return split.where("NOT is_test"), split.where("is_test")
@@ -221,7 +216,7 @@ def _fit_churn(t: Bound, kind: str):
     train, test = _split(t)
     numeric, categorical = churn.inputs(train)
     stages = modelling.preprocessing(train, numeric, categorical, scale=kind == "logistic")
-    model = modelling.fit(stages, churn.estimator(kind, SHORT, train.count()), churn.weighted(train, kind))
+    model = modelling.fit(stages, churn.estimator(kind, churn.FULL, train.count()), churn.weighted(train, kind))
     return model, test
 
 
@@ -252,17 +247,21 @@ def _preprocessed(t: Bound) -> DataFrame:
     return ready.select("customer_id", F.size(vector_to_array("features")).alias("width"))
 
 
-def _cross_validated(t: Bound) -> DataFrame:
+def _validated(t: Bound) -> dict:
+    """The cross-validated models of every kind, and the rows of their folds."""
     train, _ = _split(t)
-    model, _rows = churn.cross_validate(train, "logistic", SHORT)
-    return t.spark.range(1).select(F.lit(float(model.avgMetrics[0])).alias("cv_roc_auc_mean"),
-                                   F.lit(float(model.stdMetrics[0])).alias("cv_roc_auc_std"))
+    return {kind: churn.cross_validate(train, kind, churn.FULL) for kind in churn.FULL.kinds}
+
+
+def _cross_validated(t: Bound) -> DataFrame:
+    rows = [F.struct(F.lit(kind).alias("kind"), F.lit(float(model.avgMetrics[0])).alias("cv_roc_auc_mean"),
+                     F.lit(float(model.stdMetrics[0])).alias("cv_roc_auc_std")) for kind, (model, _) in _validated(t).items()]
+    return t.spark.range(1).select(F.explode(F.array(*rows)).alias("m")).select("m.*")
 
 
 def _out_of_fold(t: Bound) -> DataFrame:
-    train, _ = _split(t)
-    model, rows = churn.cross_validate(train, "logistic", SHORT)
-    return churn.out_of_fold(model, rows, SHORT.folds)
+    model, rows = max(_validated(t).values(), key=lambda found: found[0].avgMetrics[0])
+    return churn.out_of_fold(model, rows, churn.FULL.folds)
 
 
 def _reloaded(t: Bound) -> DataFrame:
@@ -275,18 +274,18 @@ def _reloaded(t: Bound) -> DataFrame:
 
 
 def _clv_metrics(t: Bound) -> DataFrame:
-    result = clv.train_clv(feature_table(t), SHORT_CLV)
+    result = clv.train_clv(feature_table(t))
     rows = [F.struct(F.lit(kind).alias("kind"), *[F.lit(float(v)).alias(name) for name, v in values.items()])
             for kind, values in result.metrics.items()]
     return t.spark.range(1).select(F.explode(F.array(*rows)).alias("m")).select("m.*")
 
 
-def _segments(t: Bound, ks=(2, 3), exact: bool = False):
-    return segments.segment_customers(feature_table(t), ks=ks, restarts=1, exact_silhouette=exact)
+def _segments(t: Bound):
+    return segments.segment_customers(feature_table(t))
 
 
 def _silhouettes(t: Bound) -> DataFrame:
-    found = _segments(t, exact=True)
+    found = _segments(t)
     return t.spark.range(1).select(F.explode(F.create_map(*[
         F.lit(x) for k, s in found.silhouettes.items() for x in (k, float(s))])).alias("k", "silhouette"))
 
@@ -317,7 +316,7 @@ MODELS: dict[str, Query] = {
     "m13_average_precision": lambda t: _rounded(evaluation.average_precision(t["scored"]), 9, "average_precision"),
     "m14_classification_report": lambda t: _rounded(evaluation.classification_report(t["scored"], 0.5), 9, "precision", "recall", "f1"),
     "m15_risk_bands": lambda t: t["scored"].select("customer_id", "score", evaluation.risk_band("score").alias("risk_band")),
-    "m15_score_all": lambda t: churn.score_all(_fit_churn(t, "logistic")[0], feature_table(t)),
+    "m15_score_all": lambda t: churn.score_all(churn.train_churn(feature_table(t)).model, feature_table(t)),
     "m16_save_reload": _reloaded,
     "m17_clv_models": _clv_metrics,
     "m18_regression_metrics": lambda t: _rounded(evaluation.regression_metrics(t["scored"], "label", "score"), 9, "mae", "rmse", "r2"),
@@ -567,9 +566,7 @@ def _views(t: Bound) -> DataFrame:
 
 
 def _batch(t: Bound) -> DataFrame:
-    published = batch.run(t.spark, _raw_text(t), new_path(t.spark, "batch"), fast=True, index=True,
-                          churn_settings=churn.ChurnSettings(folds=2, iterations=20, kinds=("logistic",)),
-                          clv_settings=clv.ClvSettings(kinds=("ridge",)), restarts=1, ks=(2, 3))
+    published = batch.run(t.spark, _raw_text(t), new_path(t.spark, "batch"), index=True)
     return quality.row_counts(published)
 
 

@@ -110,6 +110,55 @@ def test_model_quality(bound):
     assert 0.5 < QUERIES["m08_cross_validation"](bound).first().cv_roc_auc_mean <= 1.0
 
 
+class Asked(Exception):
+    """Raised in place of a long job, with its arguments."""
+
+
+def test_registered_model_jobs_have_the_full_settings(bound, monkeypatch):
+    import inspect
+    from types import SimpleNamespace
+
+    from tidemark.operators import churn, clv
+    from tidemark.plans import batch
+
+    def asked(module, name, key):
+        shape = inspect.signature(getattr(module, name))
+
+        def stop(*args, **kwargs):
+            given = shape.bind(*args, **kwargs)
+            given.apply_defaults()
+            raise Asked(given.arguments)
+
+        with monkeypatch.context() as m, pytest.raises(Asked) as found:
+            m.setattr(module, name, stop)
+            QUERIES[key](bound)
+        return found.value.args[0]
+
+    for key, kind in (("m05_logistic", "logistic"), ("m06_random_forest", "random_forest"), ("m07_boosted_trees", "boosted")):
+        got = asked(churn, "estimator", key)
+        assert (got["kind"], got["settings"]) == (kind, churn.FULL)
+    assert asked(churn, "train_churn", "m15_score_all")["settings"] == churn.FULL
+    assert asked(clv, "train_clv", "m17_clv_models")["settings"] == clv.ClvSettings()
+    for key in ("m21_kmeans", "m22_silhouette"):
+        got = asked(segments, "segment_customers", key)
+        assert (list(got["ks"]), got["restarts"], got["exact_silhouette"]) == ([2, 3, 4, 5, 6, 7], 30, True)
+    got = asked(batch, "run", "s13_batch_run")
+    assert not got["fast"] and got["churn_settings"] in (None, churn.FULL) and got["clv_settings"] in (None, clv.ClvSettings())
+    assert got["restarts"] in (None, 30) and list(got["ks"]) == [2, 3, 4, 5, 6, 7]
+
+    means, validated = {"logistic": 0.7, "random_forest": 0.9, "boosted": 0.8}, []
+
+    def validate(rows, kind, settings):
+        validated.append((kind, settings))
+        return SimpleNamespace(kind=kind, avgMetrics=[means[kind]], stdMetrics=[0.1]), rows
+
+    monkeypatch.setattr(churn, "cross_validate", validate)
+    assert {r.kind: r.cv_roc_auc_mean for r in QUERIES["m08_cross_validation"](bound).collect()} == means
+    got = asked(churn, "out_of_fold", "m09_out_of_fold")
+    assert (got["cv_model"].kind, got["folds"]) == ("random_forest", 5)
+    assert validated == [(kind, churn.FULL) for kind in churn.KINDS] * 2
+
+
 def test_silhouette_against_definition(bound):
     from pyspark.ml.functions import vector_to_array
     from checks.registry import feature_table
