@@ -32,9 +32,9 @@ from tidemark.llm.text import table, word_hashes
 from tidemark.session import new_path
 
 TOP = 50
-SHARD_DOCS = 1 << 15
-SHARD_TERMS = 3_000_000  # occurrences of terms in a shard, but for a longer single text
-CHUNK_BYTES = 1 << 21
+SHARD_DOCS = 1 << 14
+SHARD_TERMS = 1_000_000  # occurrences of terms in a shard, but for a longer single text
+CHUNK_BYTES = 1 << 20
 ITEM_BYTES = 32 << 20  # texts of the items that are searched together
 BATCH = 512  # ranges opened at a time
 
@@ -79,11 +79,11 @@ def _chunks(texts: list[str | None]) -> Iterator[tuple[bytes, np.ndarray, int]]:
 
 def terms_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(hash, number of its text) of every occurrence of a term; only A-Z are lower-cased."""
-    hashes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    hashes, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
     for raw, begins, first in _chunks(texts):
         starts, ends = term_spans(raw)
         hashes.append(word_hashes(raw.lower(), starts, ends))
-        owners.append(first + np.searchsorted(begins, starts, side="right") - 1)
+        owners.append((first + np.searchsorted(begins, starts, side="right") - 1).astype(np.int32))
     return np.concatenate(hashes), np.concatenate(owners)
 
 
@@ -167,9 +167,8 @@ class Walk:
             self.first.append(np.append(np.cumsum(ones) - ones, 0).astype(np.int32))
             self.peaks.append(np.append(np.repeat(self.peaks[-1][:-1], ones) - drops, 0))
 
-    def top(self, rows: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(scores, columns) that hold all of the k best columns, ties at the last place included."""
-        least = 1
+    def top(self, rows: np.ndarray, weights: np.ndarray, k: int, least: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """(scores, columns) that hold all of the k best columns with a score of at least ``least``, ties at the last place included."""
         scores, cols = np.zeros(0, np.int64), np.zeros(0, np.int64)
         open_: dict[int, tuple] = {0: (np.array([self.peaks[0][0] * weights.sum()]), np.zeros(1, np.int64), np.zeros((1, len(rows)), np.int32))}
         while open_:
@@ -216,6 +215,9 @@ class Walk:
 
 INDEX = ("shard string, doc_ids array<bigint>, terms binary, rows binary, df binary, "
          "peak bigint, level_nodes array<int>, marks binary, drops binary")
+HITS = "item_id long, doc_id long, score long, part int"
+# an index row is some megabytes: a row group holds few of them, so a reader never has many at once
+WRITING = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1"}
 
 
 def _shard(name: str, ids: list, hashes: np.ndarray, owner: np.ndarray, docs: int, terms: int) -> pa.RecordBatch:
@@ -266,7 +268,7 @@ def build_index(docs: DataFrame, counts: tuple[int, int], shard_docs: int = SHAR
                 if to > at:
                     a, b = int(ends[at - 1]) if at else 0, int(ends[to - 1])
                     full = at + np.flatnonzero(sizes[at:to])
-                    number = np.full(to - at, -1)
+                    number = np.full(to - at, -1, np.int32)
                     number[full - at] = len(ids) + np.arange(len(full))
                     ids += [keys[i] for i in full]
                     hashes.append(found[a:b])
@@ -323,7 +325,7 @@ def weights(index: DataFrame, terms: np.ndarray, n_docs: int) -> np.ndarray:
 
 
 def search_block(index: DataFrame, rows: list, n_docs: int, k: int) -> DataFrame:
-    """(item_id, doc_id, score, shard): at least the k best of every shard for each item of a block."""
+    """(item_id, doc_id, score, part): for each item of a block the k best of the shards of every task."""
     items = _items(rows)
     terms = np.unique(np.concatenate([t for _, t in items]))
     weight = weights(index, terms, n_docs)
@@ -331,25 +333,31 @@ def search_block(index: DataFrame, rows: list, n_docs: int, k: int) -> DataFrame
     held = index.sparkSession.sparkContext.broadcast([(key, own[w > 0], w[w > 0]) for key, own, w in queries if (w > 0).any()])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        best: list[list[tuple[int, bool, int]]] = [[] for _ in held.value]  # (-score, no doc_id, doc_id) over the shards of this task
         for batch in batches:
             for i in range(batch.num_rows):
                 own, own_rows, walk = _open(batch, i)
                 ids = batch.column("doc_ids")[i].as_py()
-                keys, docs, scores = [], [], []
-                for key, wanted, w in held.value:
+                for place, (_, wanted, w) in enumerate(held.value):
                     at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
                     there = own[at] == wanted
                     if there.any():
-                        found, cols = walk.top(own_rows[at[there]], w[there], k)
-                        best = sorted(zip((-found).tolist(), ((ids[c] is None, ids[c] or 0) for c in cols.tolist())))[:k]
-                        keys += [key] * len(best)
-                        scores += [-s for s, _ in best]
-                        docs += [None if missing else d for _, (missing, d) in best]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(docs, pa.int64()), pa.array(scores, pa.int64()),
-                                                  pa.array([batch.column("shard")[i].as_py()] * len(keys), pa.string())],
-                                                 ["item_id", "doc_id", "score", "shard"])
-
-    return index.mapInArrow(run, "item_id long, doc_id long, score long, shard string")
+                        mine = best[place]
+                        found, cols = walk.top(own_rows[at[there]], w[there], k, -mine[-1][0] if len(mine) == k else 1)
+                        if len(found):
+                            mine += [(-s, ids[c] is None, ids[c] or 0) for s, c in zip(found.tolist(), cols.tolist())]
+                            mine.sort()
+                            del mine[k:]
+        keys = [key for (key, _, _), mine in zip(held.value, best) for _ in mine]
+        rows = [row for mine in best for row in mine]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(keys, pa.int64()), pa.array([None if missing else d for _, missing, d in rows], pa.int64()),
+            pa.array([-s for s, _, _ in rows], pa.int64()), pa.array([TaskContext.get().partitionId()] * len(rows), pa.int32())],
+            ["item_id", "doc_id", "score", "part"])
+
+    return index.mapInArrow(run, HITS)
 
 
 def ranked(index: DataFrame, items: DataFrame, counts: tuple[int, int], k: int = TOP) -> DataFrame:
@@ -362,12 +370,11 @@ def ranked(index: DataFrame, items: DataFrame, counts: tuple[int, int], k: int =
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()
         if rows and counts[0]:
-            with rows_a_batch(spark, 4):
+            with rows_a_batch(spark, 1):
                 search_block(index, rows, counts[0], k).write.mode("append").parquet(path)
-    shape = "item_id long, doc_id long, score long, shard string"
-    hits = spark.read.schema(shape).parquet(path) if blocks and counts[0] else spark.createDataFrame([], shape)
+    hits = spark.read.schema(HITS).parquet(path) if blocks and counts[0] else spark.createDataFrame([], HITS)
     by = [F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
-    group = F.pmod(F.xxhash64("shard"), F.lit(64))
+    group = F.pmod(F.xxhash64("part"), F.lit(64))
     part = hits.withColumn("rank", F.row_number().over(Window.partitionBy("item_id", group).orderBy(*by))).where(F.col("rank") <= k)
     whole = part.withColumn("rank", F.row_number().over(Window.partitionBy("item_id").orderBy(*by))).where(F.col("rank") <= k)
     return whole.select("item_id", "rank", "doc_id", "score")
@@ -376,11 +383,11 @@ def ranked(index: DataFrame, items: DataFrame, counts: tuple[int, int], k: int =
 def op13_k2_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """item_id, rank, doc_id, score: the 50 best of all documents for each benchmark item."""
     docs = table(spark, sf_dir, "documents")
-    with rows_a_batch(spark, 2000):
+    with rows_a_batch(spark, 500):
         counts = corpus_counts(docs)
         path = new_path(spark, "treaps")
         index = build_index(docs, counts)
-        index.write.parquet(path)
+        index.write.options(**WRITING).parquet(path)
     return ranked(spark.read.schema(INDEX).parquet(path), table(spark, sf_dir, "benchmark"), counts)
 
 
