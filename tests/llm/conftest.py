@@ -31,6 +31,14 @@ def corpus(spark, tmp_path_factory):
             "http://badnet/en/", "http://notexample.com/de/"] * 2
     spark.createDataFrame([(i, u, "<p>") for i, u in enumerate(urls)], "page_id long, url string, html string").write.parquet(
         f"{folder}/pages.parquet")
+    dice = random.Random(9)
+    vectors = [[dice.gauss(0, 1 + j) for j in range(6)] for _ in range(60)]
+    vectors += [None, [], [1.0] * 5 + [None], [float("nan")] * 6, [float("-inf")] + [0.0] * 5, [-0.0] * 6, *[vectors[0]] * 40, vectors[1],
+                *[[dice.random(), 1.0] for _ in range(5)], [3.0]]
+    spark.createDataFrame([(i, v, 0, "clash") for i, v in enumerate(vectors)], "vec_id long, embedding array<float>, label int, n string").repartition(
+        3).write.parquet(f"{folder}/embeddings.parquet")
+    items = [(0, "one two"), (1, None), (2, ""), (3, "Twice x É é endoftext"), (4, passage), (4, a), (5, "unseen ~~~ term"), (6, long), (None, "iban 10"), (7, "...")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return folder
 
 
@@ -38,6 +46,6 @@ def corpus(spark, tmp_path_factory):
 def empty(spark, corpus, tmp_path_factory):
     """The same tables without rows."""
     folder = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels", "pages"):
+    for name in ("documents", "labels", "pages", "embeddings", "benchmark"):
         spark.read.parquet(f"{corpus}/{name}.parquet").limit(0).write.parquet(f"{folder}/{name}.parquet")
     return folder

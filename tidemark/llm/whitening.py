@@ -72,8 +72,8 @@ def _shifted_solve(a: np.ndarray, shift: float, v: np.ndarray, scale: float) ->
             w = np.linalg.solve(a - (shift + nudge) * eye, v)
         except np.linalg.LinAlgError:
             continue
-        if np.isfinite(w).all():
-            return w
+        if np.isfinite(w).all() and w.any():
+            return w / np.abs(w).max()
     return v
 
 
