@@ -2,23 +2,33 @@
 
 from checks import featuresql  # noqa: F401 - adds the feature CTEs
 from checks.sqltext import CTES, MONTH, big, day, half_even, half_up, mean, num, sql
+from tidemark.operators.segments import INPUTS as SEGMENT_INPUTS
 
 AT = "1998-03-01"
 P06_WEIGHTS = {"engagement_score": -0.25, "failed_payment_rate": 8.0, "days_since_last_activity": 0.0625, "sessions_90d": -0.5,
                "avg_customer_satisfaction": -1.5, "support_ticket_count_90d": 2.0, "plan_changes": -0.125,
                "negative_feedback_rate_180d": 4.0, "customer_tenure_days": -0.03125, "watch_minutes_30d": -0.25,
                "current_monthly_price": 0.5}
-SEGMENT_INPUTS = ["customer_tenure_days", "engagement_score", "watch_minutes_30d", "watch_minutes_change_pct_30d",
-                  "failed_payment_rate", "support_ticket_count_90d", "avg_customer_satisfaction",
-                  "negative_feedback_rate_180d", "customer_lifetime_value", "current_monthly_price"]
 NUMERIC = """age churned customer_tenure_days current_monthly_price plan_changes avg_watch_time_per_session sessions_30d sessions_90d
 watch_minutes_30d watch_minutes_prev30d watch_minutes_change_pct_30d avg_completion_90d active_days_90d device_diversity_90d genre_diversity_90d
 days_since_last_activity login_frequency monthly_watch_time_trend payment_count_90d failed_payment_count failed_payment_rate customer_lifetime_value
 successful_payment_count days_since_last_failed_payment support_ticket_count support_ticket_count_90d avg_customer_satisfaction
 avg_resolution_time_180d low_csat_tickets_180d low_csat_ticket_rate_180d high_priority_tickets_90d feedback_count_180d avg_feedback_rating_180d
 negative_feedback_count_180d negative_feedback_rate_180d engagement_score billing_risk_score support_friction_score""".split()
+# filled inputs that m02 shows; the checking SQL fills the same ones
+M02_NUMERIC = [c for c in NUMERIC if c not in ("churned", "successful_payment_count")]
+M02_CATEGORICAL = ["country", "acquisition_channel", "customer_segment", "preferred_language", "current_plan", "current_plan_id", "auto_renew"]
 CORRELATED = [c for c in NUMERIC if c != "churned"]
 
+# A fifth of the rows by hash order, dealt to the classes by largest remainder.
+HELD_OUT = """
+placed AS (SELECT customer_id, {label} AS y, COUNT(*) OVER (PARTITION BY {label}) AS size, COUNT(*) OVER () AS total,
+  row_number() OVER (PARTITION BY {label} ORDER BY CAST('0x' || substr(md5(customer_id || '-42'),1,8) AS BIGINT), customer_id) AS place FROM {table}),
+classes AS (SELECT DISTINCT y, size, total, (total * 20 + 99) // 100 AS wanted FROM placed),
+seats AS (SELECT y, wanted * size // total + CASE WHEN row_number() OVER (ORDER BY wanted * size % total DESC, y)
+  <= wanted - SUM(wanted * size // total) OVER () THEN 1 ELSE 0 END AS seats FROM classes),
+split AS (SELECT customer_id, place <= seats AS is_test FROM placed JOIN seats ON placed.y IS NOT DISTINCT FROM seats.y)"""
+
 CTES["cm"] = f"""
 SELECT c.country, {MONTH('churn_date')} m, CAST(COUNT(*) AS BIGINT) n FROM churn_labels cl JOIN customers c USING(customer_id) WHERE churned AND churn_date IS NOT NULL GROUP BY 1,2"""
 CTES["vm"] = f"""SELECT c.country, {MONTH('viewing_date')} m, {mean('watch_duration_minutes')} a, COUNT(DISTINCT v.customer_id) u
@@ -164,7 +174,14 @@ SELECT period, concat_ws(chr(10), '# ' || upper(substr(period,1,1)) || substr(pe
  '- Revenue from successful payments: $' || format('{:,.2f}', revenue), '- Churned customers: ' || churned_customers, '- New customers: ' || new_customers,
  '- Active viewers: ' || active_viewers, '- Average CSAT: ' || COALESCE(format('{:,.2f}', avg_csat),'None'), '- Top complaints: ' || COALESCE(s,'')) report
 FROM rfacts LEFT JOIN c USING(period)"""),
-    "m03_hold_out": sql("""SELECT customer_id, CAST('0x' || substr(md5(customer_id || '-42'),1,8) AS BIGINT) % 100 < 20 is_test FROM scored"""),
+    "m02_preprocess": sql(f"""
+WITH {HELD_OUT.format(table='ftable', label='churned')}, rows AS (SELECT f.*, t.is_test FROM ftable f JOIN split t USING(customer_id)),
+fill AS (SELECT {', '.join(f'median(CAST({c} AS DOUBLE)) "{c}"' for c in M02_NUMERIC)} FROM rows WHERE NOT is_test),
+{', '.join(f"""mode_{c} AS (SELECT CAST({c} AS VARCHAR) v FROM rows WHERE NOT is_test AND {c} IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1)""" for c in M02_CATEGORICAL)}
+SELECT customer_id, {', '.join(f'round(COALESCE(CAST(rows."{c}" AS DOUBLE), fill."{c}", 0.0), 6) AS "{c}"' for c in M02_NUMERIC)},
+ {', '.join(f"COALESCE(CAST({c} AS VARCHAR), (SELECT v FROM mode_{c}), '') AS {c}" for c in M02_CATEGORICAL)}
+FROM rows, fill WHERE is_test"""),
+    "m03_hold_out": sql(f"WITH {HELD_OUT.format(table='scored', label='label')} SELECT customer_id, is_test FROM split"),
     "m04_class_weights": sql("""WITH c AS (SELECT COUNT(*) n, COUNT(*) FILTER(WHERE label=1) p FROM scored)
 SELECT n-p negatives, p positives, CAST(n-p AS DOUBLE)/p scale_pos_weight, CAST(n AS DOUBLE)/(2*(n-p)) weight_0, CAST(n AS DOUBLE)/(2*p) weight_1 FROM c"""),
     "m10_threshold_sweep": sql("SELECT round(threshold,9) threshold, tp, fp, fn, round(f_beta,9) f_beta FROM sweep"),

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from checks.cleaning import MESSY, WITH_CUSTOMER
-from checks.modelsql import AT, CORRELATED, P06_WEIGHTS
+from checks.modelsql import AT, CORRELATED, M02_CATEGORICAL, M02_NUMERIC, P06_WEIGHTS
 from tidemark.operators import (audience, churn, clv, engagement, evaluation, explain, explore, features, modelling,
                                 policy, quality, reports, retrieval, revenue, risk, rootcause, segments, support)
 from tidemark.functions.expr import as_literal
 from tidemark.functions.intervals import anchored
 from tidemark.plans import batch, views
-from tidemark.session import new_path, settle
+from tidemark.plans.steps import Steps
+from tidemark.session import new_path, settle, shared_dir
 from tidemark.sources import catalog, files, guarded
 from tidemark.sources.bindings import Bound
 
@@ -143,15 +146,17 @@ def _at(t: Bound) -> DataFrame:
     return _anchors(t).select("customer_id", "anchor_date")
 
 
-_PUBLISHED: dict[tuple[str, str], DataFrame] = {}
+def steps(t: Bound) -> Steps:
+    """Published intermediate results of a folder of test tables; a step is done again when what it reads has changed."""
+    name = hashlib.sha256(t.folder.encode()).hexdigest()[:16]
+    return Steps(t.spark, f"{shared_dir(t.spark).rstrip('/')}/steps-{name}")
 
 
 def feature_table(t: Bound) -> DataFrame:
-    """The published feature table of this session and folder: later jobs read what was written once."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _PUBLISHED:
-        _PUBLISHED[key] = settle(features.customer_features(t.tables()), "customer-features")
-    return _PUBLISHED[key]
+    """The feature table as published by the step that makes it."""
+    names = ("customers", "churn_labels", "subscriptions", "subscription_plans", "content", "viewing_activity", "payments",
+             "support_tickets", "customer_feedback")
+    return steps(t).table("customer_features", lambda: features.customer_features(t.tables()), None, {n: t[n] for n in names})
 
 
 FEATURES: dict[str, Query] = {
@@ -207,25 +212,23 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
-def _split(t: Bound) -> tuple[DataFrame, DataFrame]:
-    split = evaluation.hold_out(churn.labelled(feature_table(t)), "customer_id")
-    return split.where("NOT is_test"), split.where("is_test")
+def _kind(t: Bound, kind: str) -> dict:
+    """Manifest of the training step of one kind of churn model, with the full settings."""
+    return churn.kind_step(steps(t), feature_table(t), kind, churn.FULL)
 
 
-def _fit_churn(t: Bound, kind: str):
-    train, test = _split(t)
-    numeric, categorical = churn.inputs(train)
-    stages = modelling.preprocessing(train, numeric, categorical, scale=kind == "logistic")
-    model = modelling.fit(stages, churn.estimator(kind, churn.FULL, train.count()), churn.weighted(train, kind))
-    return model, test
+def _model(t: Bound, kind: str):
+    return PipelineModel.load(f"{_kind(t, kind)['path']}/model")
 
 
 def _scored_by(kind: str) -> Query:
-    def run(t: Bound) -> DataFrame:
-        model, test = _fit_churn(t, kind)
-        return churn.probability(model.transform(test)).select("customer_id", "label", F.round("score", 6).alias("score"))
+    """Test rows scored by the model of all training rows."""
+    return lambda t: t.spark.read.parquet(f"{_kind(t, kind)['path']}/test_scores").select("customer_id", "label", F.round("score", 6).alias("score"))
 
-    return run
+
+def _rows_of(t: Bound, rows: list[tuple], shape: str) -> DataFrame:
+    """A few computed rows as a table."""
+    return t.spark.createDataFrame(rows, shape)
 
 
 def _columns(t: Bound) -> DataFrame:
@@ -239,45 +242,44 @@ def _columns(t: Bound) -> DataFrame:
 
 
 def _preprocessed(t: Bound) -> DataFrame:
-    train, test = _split(t)
-    numeric, categorical = churn.inputs(train)
-    from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
-    ready = Pipeline(stages=modelling.preprocessing(train, numeric, categorical, scale=True)).fit(train).transform(test)
-    return ready.select("customer_id", F.size(vector_to_array("features")).alias("width"))
-
-
-def _validated(t: Bound) -> dict:
-    """The cross-validated models of every kind, and the rows of their folds."""
-    train, _ = _split(t)
-    return {kind: churn.cross_validate(train, kind, churn.FULL) for kind in churn.FULL.kinds}
+    """Filled inputs of the test rows: medians and modes of the training rows."""
+    rows = churn.split_step(steps(t), feature_table(t), churn.FULL)
+    numeric, categorical = churn.inputs(rows)
+    model = modelling.Fill(numeric=numeric, categorical=categorical).fit(rows.where("NOT is_test"))
+    filled = model.transform(rows.where("is_test"))
+    return filled.select("customer_id", *[F.round(f"num_{c}", 6).alias(c) for c in M02_NUMERIC],
+                         *[F.col(f"cat_{c}").alias(c) for c in M02_CATEGORICAL])
 
 
 def _cross_validated(t: Bound) -> DataFrame:
-    rows = [F.struct(F.lit(kind).alias("kind"), F.lit(float(model.avgMetrics[0])).alias("cv_roc_auc_mean"),
-                     F.lit(float(model.stdMetrics[0])).alias("cv_roc_auc_std")) for kind, (model, _) in _validated(t).items()]
-    return t.spark.range(1).select(F.explode(F.array(*rows)).alias("m")).select("m.*")
+    _, made = churn.best_kind(steps(t), feature_table(t), churn.FULL)
+    return _rows_of(t, [(kind, m["cv_roc_auc_mean"], m["cv_roc_auc_std"]) for kind, m in made.items()],
+                    "kind string, cv_roc_auc_mean double, cv_roc_auc_std double")
 
 
 def _out_of_fold(t: Bound) -> DataFrame:
-    model, rows = max(_validated(t).values(), key=lambda found: found[0].avgMetrics[0])
-    return churn.out_of_fold(model, rows, churn.FULL.folds)
+    best, made = churn.best_kind(steps(t), feature_table(t), churn.FULL)
+    return t.spark.read.parquet(f"{made[best]['path']}/fold_scores").drop("fold")
+
+
+def _trained(t: Bound) -> churn.ChurnResult:
+    return churn.train_churn(feature_table(t), churn.FULL, steps(t))
 
 
 def _reloaded(t: Bound) -> DataFrame:
-    model, test = _fit_churn(t, "logistic")
-    path = new_path(t.spark, "churn-model")
-    modelling.save_model(model, path, {"retention_threshold": 0.34})
+    """Test rows scored by the selected model after saving it with its metadata and loading it again."""
+    result, path = _trained(t), new_path(t.spark, "churn-model")
+    modelling.save_model(result.model, path, result.metadata())
     again, metadata = modelling.load_model(t.spark, path)
-    return churn.probability(again.transform(test)).select(
-        "customer_id", "score", F.lit(metadata["retention_threshold"]).alias("threshold"))
+    test = churn.split_step(steps(t), feature_table(t), churn.FULL).where("is_test")
+    return churn.probability(again.transform(test)).select("customer_id", F.round("score", 6).alias("score"),
+                                                           F.lit(metadata["retention_threshold"]).alias("threshold"))
 
 
 def _clv_metrics(t: Bound) -> DataFrame:
-    result = clv.train_clv(feature_table(t))
-    rows = [F.struct(F.lit(kind).alias("kind"), *[F.lit(float(v)).alias(name) for name, v in values.items()])
-            for kind, values in result.metrics.items()]
-    return t.spark.range(1).select(F.explode(F.array(*rows)).alias("m")).select("m.*")
+    result = clv.train_clv(feature_table(t), clv.ClvSettings(), steps(t))
+    return _rows_of(t, [(kind, *(float(v[m]) for m in ("mae", "rmse", "r2"))) for kind, v in result.metrics.items()],
+                    "kind string, mae double, rmse double, r2 double")
 
 
 def _segments(t: Bound):
@@ -285,9 +287,13 @@ def _segments(t: Bound):
 
 
 def _silhouettes(t: Bound) -> DataFrame:
-    found = _segments(t)
-    return t.spark.range(1).select(F.explode(F.create_map(*[
-        F.lit(x) for k, s in found.silhouettes.items() for x in (k, float(s))])).alias("k", "silhouette"))
+    return _rows_of(t, [(k, float(s)) for k, s in _segments(t).silhouettes.items()], "k int, silhouette double")
+
+
+def _plane(t: Bound) -> DataFrame:
+    z = settle(segments.z_scores(feature_table(t)), "segment-vectors")
+    placed = segments.plane_coordinates(z, segments.loadings(segments.point_blocks(z)))
+    return placed.select("customer_id", F.round("pca_1", 6).alias("pca_1"), F.round("pca_2", 6).alias("pca_2"))
 
 
 def _clustered(t: Bound) -> DataFrame:
@@ -316,19 +322,17 @@ MODELS: dict[str, Query] = {
     "m13_average_precision": lambda t: _rounded(evaluation.average_precision(t["scored"]), 9, "average_precision"),
     "m14_classification_report": lambda t: _rounded(evaluation.classification_report(t["scored"], 0.5), 9, "precision", "recall", "f1"),
     "m15_risk_bands": lambda t: t["scored"].select("customer_id", "score", evaluation.risk_band("score").alias("risk_band")),
-    "m15_score_all": lambda t: churn.score_all(churn.train_churn(feature_table(t)).model, feature_table(t)),
+    "m15_score_all": lambda t: churn.score_all(_trained(t).model, feature_table(t)),
     "m16_save_reload": _reloaded,
     "m17_clv_models": _clv_metrics,
     "m18_regression_metrics": lambda t: _rounded(evaluation.regression_metrics(t["scored"], "label", "score"), 9, "mae", "rmse", "r2"),
-    "m19_predicted_clv": lambda t: clv.predict_all(
-        clv.train_clv(feature_table(t), clv.ClvSettings(kinds=("ridge",))).model, feature_table(t)),
+    "m19_predicted_clv": lambda t: clv.predict_all(clv.train_clv(feature_table(t), clv.ClvSettings(), steps(t)).model, feature_table(t)),
     "m20_z_scores": lambda t: _rounded(segments.z_scores(feature_table(t)), 6, *segments.INPUTS),
     "m21_kmeans": lambda t: _segments(t).customers.select("customer_id", "cluster_id", "cluster_name"),
     "m22_silhouette": _silhouettes,
     "m23_profiles": lambda t: _rounded(segments.profiles(_clustered(t)), 6, *segments.INPUTS),
     "m24_segment_names": _named,
-    "m25_plane": lambda t: segments.plane_coordinates(segments.scaled_vectors(feature_table(t))[1]).select(
-        "customer_id", F.round("pca_1", 6).alias("pca_1"), F.round("pca_2", 6).alias("pca_2")),
+    "m25_plane": _plane,
     "m26_correlations": lambda t: evaluation.correlations(feature_table(t), "churned", CORRELATED),
 }
 
@@ -344,10 +348,21 @@ def _retention(t: Bound) -> DataFrame:
 
 
 def _tree_contributions(t: Bound) -> DataFrame:
-    model, test = _fit_churn(t, "boosted")
-    numeric, categorical = churn.inputs(test)
-    names = modelling.input_names(model, categorical, numeric)
-    return explain.tree_contributions(t.spark, model.transform(test), model.stages[-1], names)
+    test = churn.split_step(steps(t), feature_table(t), churn.FULL).where("is_test")
+    return explain.tree_contributions(test, _model(t, "boosted").stages[-1].ensemble)
+
+
+def _factors(t: Bound, kind: str) -> DataFrame:
+    """Top factors of all customers by the fitted model of a kind."""
+    numeric, categorical = churn.inputs(feature_table(t))
+    return explain.model_contributions(churn.labelled(feature_table(t)), _model(t, kind), numeric, categorical)
+
+
+def _explained(t: Bound) -> DataFrame:
+    result = _trained(t)
+    scored = churn.probability(result.model.transform(churn.labelled(feature_table(t))))
+    return explain.explained_scores(scored, result.threshold, explain.model_contributions(
+        churn.labelled(feature_table(t)), result.model, result.numeric, result.categorical))
 
 
 POLICY: dict[str, Query] = {
@@ -358,8 +373,8 @@ POLICY: dict[str, Query] = {
     "p05_recommendations": lambda t: policy.recommend(_retention(t)),
     "p06_linear_contributions": lambda t: explain.linear_contributions(feature_table(t), P06_WEIGHTS),
     "p07_tree_contributions": _tree_contributions,
-    "p08_explained_scores": lambda t: explain.explained_scores(
-        churn.probability(_fit_churn(t, "logistic")[0].transform(churn.labelled(feature_table(t)))), 0.34),
+    "p06_fitted_contributions": lambda t: _factors(t, "logistic"),
+    "p08_explained_scores": _explained,
 }
 
 

@@ -237,9 +237,15 @@ def average_rank_pct(c: str) -> Column:
 def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float],
                       **cutting) -> DataFrame:
     """Interpolated percentiles per group from counts of distinct values: no group is held in memory."""
-    group = list(group)
     counted = settle(df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(
         F.count(F.lit(1)).alias("_c")), "value-counts")
+    return percentiles_of_counts(counted, group, value, probs, **cutting)
+
+
+def percentiles_of_counts(counted: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float],
+                          **cutting) -> DataFrame:
+    """Interpolated percentiles per group of distinct values that stand ``_c`` times each."""
+    group = list(group)
     summed = running_sum(counted, group, [value], {"_to": F.col("_c")}, **cutting)
     sizes = counted.groupBy(*group).agg(F.sum("_c").alias("_n"))
     if group:

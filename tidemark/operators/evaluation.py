@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import count_if
-from tidemark.functions.ordering import value_positions
+from tidemark.functions.ordering import running_sum, value_positions
+from tidemark.session import settle
 
 
 def _div(num: Column, den: Column) -> Column:
@@ -22,9 +23,50 @@ def split_number(key: str, seed: int = 42) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
-def hold_out(df: DataFrame, key: str, percent: int = 20, seed: int = 42) -> DataFrame:
-    """Mark the test rows. Each class has the same share in expectation."""
-    return df.withColumn("is_test", split_number(key, seed) % 100 < percent)
+CELLS_BITS = 16
+
+
+def class_positions(df: DataFrame, key: str, label: str | None = "label", seed: int = 42, out: str = "position") -> DataFrame:
+    """Add each row's place (from 0) among the rows of its class in the order of its key's hash.
+
+    Hashes are cut into 65,536 cells: rows are numbered within (class, cell), and each cell's first place comes from the counts
+    of the cells, of which there are at most that many for each class.
+    """
+    group = F.col(label) if label else F.lit(0)
+    hashed = df.withColumns({"_hash": split_number(key, seed), "_class": group}).withColumn("_at", F.shiftright("_hash", 32 - CELLS_BITS))
+    counts = hashed.groupBy("_class", "_at").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_class").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(F.col("_class").alias("_c"), F.col("_at").alias("_a"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_class", "_at").orderBy("_hash", key)
+    numbered = hashed.withColumn("_place", F.row_number().over(within) - 1)
+    same = F.col("_class").eqNullSafe(F.col("_c")) & (F.col("_at") == F.col("_a"))
+    placed = numbered.join(F.broadcast(starts), same, "left")  # at most 65,536 rows for each class
+    return placed.select(*df.columns, (F.col("_start") + F.col("_place")).alias(out))
+
+
+def class_seats(df: DataFrame, percent: int, label: str | None = "label") -> DataFrame:
+    """Test rows of each class: the smallest whole number of rows that holds ``percent`` of all, dealt to the classes by
+    largest remainder (ties to the smaller label)."""
+    sizes = df.groupBy((F.col(label) if label else F.lit(0)).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    every, ranked = Window.partitionBy(), Window.orderBy(F.desc("_rest"), "_c")  # one row for each class
+    shared = sizes.withColumn("_all", F.sum("_n").over(every)).withColumn("_wanted", F.expr(f"(_all * {percent} + 99) div 100"))
+    shared = shared.withColumns({"_whole": F.expr("_wanted * _n div _all"), "_rest": F.expr("_wanted * _n % _all")})
+    extra = F.row_number().over(ranked) <= F.col("_wanted") - F.sum("_whole").over(every)
+    return shared.select("_c", (F.col("_whole") + extra.cast("int")).alias("_seats"))
+
+
+def hold_out(df: DataFrame, key: str, percent: int = 20, seed: int = 42, label: str | None = "label") -> DataFrame:
+    """Mark the test rows, exactly stratified by ``label`` (None: not stratified)."""
+    placed = class_positions(df, key, label, seed, "_position")
+    group = F.col(label) if label else F.lit(0)
+    marked = placed.join(F.broadcast(class_seats(df, percent, label)), group.eqNullSafe(F.col("_c")))
+    return marked.select(*df.columns, (F.col("_position") < F.col("_seats")).alias("is_test"))
+
+
+def fold_column(df: DataFrame, folds: int, key: str = "customer_id", seed: int = 42, label: str | None = "label") -> DataFrame:
+    """Fold number; the sizes of a class in two folds differ by at most one."""
+    placed = class_positions(df, key, label, seed + 1, "_position")
+    return placed.select(*df.columns, (F.col("_position") % folds).cast("int").alias("fold"))
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -94,6 +136,16 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score", **cutting
     return sums.select(_div(F.col("_twice") - p * (p + 1), 2 * p * (n - p)).alias("roc_auc"))
 
 
+def roc_auc_by(df: DataFrame, group: str, label: str = "label", score: str = "score", **cutting) -> DataFrame:
+    """The ROC-AUC of each group, all groups in one scan over distinct scores."""
+    counted = settle(df.groupBy(group, score).agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("bigint")).alias("_pos")), "score-counts")
+    to = running_sum(counted, [group], [score], {"_to": F.col("_n")}, **cutting)
+    sums = to.groupBy(group).agg(F.sum(F.col("_pos") * (2 * F.col("_to") - F.col("_n") + 1)).alias("_twice"), F.sum("_pos").alias("_p"),
+                                 F.sum("_n").alias("_all"))
+    p, n = F.col("_p"), F.col("_all")
+    return sums.select(group, _div(F.col("_twice") - p * (p + 1), 2 * p * (n - p)).alias("roc_auc"))
+
+
 def average_precision(df: DataFrame, label: str = "label", score: str = "score", **cutting) -> DataFrame:
     """One step per distinct score, from high to low."""
     scores = _by_score(df, label, score, **cutting)
