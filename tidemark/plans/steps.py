@@ -3,8 +3,8 @@
 A step's digest covers its name, its settings, the steps it needs (by their digests) and the tables it reads. A table is
 told by its schema, its plan and the names, sizes and times of its files; rows that are in no file are told by their count and
 hashes. The result is written to a new folder first. Then the pointer ``<folder>/<step>/CURRENT``, the step's manifest, is replaced by
-one rename, so a reader has the old result or the new one, never a part, and a run that was stopped goes on behind the last
-step that was published. The result before the last one stays for readers that still hold it; older ones are deleted.
+one rename (local disks, which have no renaming over a file, delete the old pointer just before), so a reader has the old result or
+the new one, never a part, and a run that was stopped goes on behind the last step that was published. The result before the last one stays for readers that still hold it; older ones are deleted.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import threading
 import uuid
+from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, is_dataclass
 
@@ -23,6 +25,10 @@ POINTER = "CURRENT"
 _RUNNING = re.compile(r"#\d+L?|_pyspark_[0-9a-f]{32}|(?<=\b[xyz])_\d+\b")  # numbers that differ from one session to the next
 
 
+_SETTING = threading.Lock()
+_STEPS: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)  # one thread of a driver at a time works on a step
+
+
 def _sha(*parts: object) -> str:
     return hashlib.sha256(json.dumps(parts, sort_keys=True, default=lambda x: asdict(x) if is_dataclass(x) else str(x)).encode()).hexdigest()
 
@@ -30,12 +36,13 @@ def _sha(*parts: object) -> str:
 def table_digest(df: DataFrame) -> str:
     """What a table is made of, without running it where its rows come from files alone."""
     conf, name = df.sparkSession.conf, "spark.sql.debug.maxToStringFields"
-    before = conf.get(name)
-    conf.set(name, "100000")
-    try:
-        plan = _RUNNING.sub("", df._jdf.queryExecution().analyzed().toString())
-    finally:
-        conf.set(name, before)
+    with _SETTING:  # the setting is the session's, which threads share
+        before = conf.get(name)
+        conf.set(name, "100000")
+        try:
+            plan = _RUNNING.sub("", df._jdf.queryExecution().analyzed().toString())
+        finally:
+            conf.set(name, before)
     if re.search(r"LocalRelation|LogicalRDD|InMemoryRelation", plan) or not df.inputFiles():
         bits = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).alias("x"),
                       F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")).cast("string").alias("s")).first()
@@ -95,6 +102,11 @@ class Steps:
     def run(self, name: str, build: Callable[[str], Mapping | None], settings: object = None, tables: Mapping[str, DataFrame] | None = None,
             needs: Sequence[str] = ()) -> dict:
         """The manifest of a step; ``build`` writes into the folder it is given, unless the published result is of the same digest."""
+        with _STEPS[f"{self.folder}/{name}"]:
+            return self._run(name, build, settings, tables, needs)
+
+    def _run(self, name: str, build: Callable[[str], Mapping | None], settings: object, tables: Mapping[str, DataFrame] | None,
+             needs: Sequence[str]) -> dict:
         wanted = _sha(name, settings, {k: table_digest(df) for k, df in (tables or {}).items()}, {n: self.manifest(n)["digest"] for n in needs})
         now = self.manifest(name)
         if now and now["digest"] == wanted:
