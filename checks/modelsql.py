@@ -119,14 +119,16 @@ SELECT {b}CAST(COALESCE(least(floor((v-lo)/nullif(w,0)),{bins - 1}),0) AS INT) b
  round(lo+CAST(COALESCE(least(floor((v-lo)/nullif(w,0)),{bins - 1}),0) AS INT)*w,6) bin_start, COUNT(*) n FROM x, e GROUP BY ALL""")
 
 
-def _box(table: str, g: str, c: str) -> str:
+def _box(table: str, groups: str, c: str) -> str:
+    names = groups.split(", ")
+    inner, same = ", ".join(f"x.{g}" for g in names), " AND ".join(f"x.{g} IS NOT DISTINCT FROM f.{g}" for g in names)
     return sql(f"""
-WITH x AS (SELECT {g} g, CAST({c} AS DOUBLE) v FROM {table} WHERE {c} IS NOT NULL),
-q AS (SELECT g, quantile_cont(v,0.25) q1, quantile_cont(v,0.5) md, quantile_cont(v,0.75) q3 FROM x GROUP BY 1),
+WITH x AS (SELECT {groups}, CAST({c} AS DOUBLE) v FROM {table} WHERE {c} IS NOT NULL),
+q AS (SELECT {groups}, quantile_cont(v,0.25) q1, quantile_cont(v,0.5) md, quantile_cont(v,0.75) q3 FROM x GROUP BY {groups}),
 f AS (SELECT *, q1-1.5*(q3-q1) lf, q3+1.5*(q3-q1) uf FROM q)
-SELECT x.g {g}, round(q1,6) q1, round(md,6) median, round(q3,6) q3, round(lf,6) lower_fence, round(uf,6) upper_fence, round(MIN(v),6) minimum, round(MAX(v),6) maximum,
+SELECT {inner}, round(q1,6) q1, round(md,6) median, round(q3,6) q3, round(lf,6) lower_fence, round(uf,6) upper_fence, round(MIN(v),6) minimum, round(MAX(v),6) maximum,
  round(MIN(v) FILTER(WHERE v BETWEEN lf AND uf),6) whisker_low, round(MAX(v) FILTER(WHERE v BETWEEN lf AND uf),6) whisker_high,
- COUNT(*) FILTER(WHERE v NOT BETWEEN lf AND uf) outliers, COUNT(*) n FROM x JOIN f ON x.g IS NOT DISTINCT FROM f.g GROUP BY x.g,q1,md,q3,lf,uf""")
+ COUNT(*) FILTER(WHERE v NOT BETWEEN lf AND uf) outliers, COUNT(*) n FROM x JOIN f ON {same} GROUP BY {inner},q1,md,q3,lf,uf""")
 
 
 def _counts(table: str, c: str, n: int | None = None) -> str:
@@ -237,7 +239,8 @@ SELECT subcategory, string_agg('[' || upper(source) || ':' || id || '] date=' ||
  || COALESCE(CAST(rating AS VARCHAR),'None') || chr(10) || text, chr(10) || chr(10) ORDER BY rn) context, COUNT(*) record_count FROM r WHERE rn<=8 GROUP BY 1"""),
     "t08_strip_fence": sql("""
 SELECT doc_id, rtrim(trim(regexp_replace(regexp_replace(trim(sql, ' ' || chr(10)), '^```(?:sql)?\\s*', '', 'i'), '\\s*```$', ''), ' ' || chr(10)), ';') AS sql FROM fenced"""),
-    "t11_csv_preview": sql("""SELECT concat_ws(',', customer_id, country, age) line FROM (SELECT * FROM customers ORDER BY customer_id LIMIT 100)"""),
+    "t11_csv_preview": sql("""SELECT 'customer_id,country,age' AS line UNION ALL
+SELECT concat_ws(',', customer_id, country, age) FROM (SELECT * FROM customers ORDER BY customer_id LIMIT 100)"""),
     "d01_kpis": sql(f"""SELECT COUNT(*) customers, {half_up('100*COUNT(*) FILTER(WHERE churned)', 'COUNT(*)', 1)} churn_pct,
  (SELECT {num('SUM(amount)')} FROM payments WHERE payment_status='Success') successful_revenue, (SELECT COUNT(*) FROM scored WHERE score>0.55) high_risk_customers,
  (SELECT {mean('customer_satisfaction_score')} FROM support_tickets) avg_csat FROM churn_labels"""),
@@ -249,10 +252,12 @@ SELECT doc_id, rtrim(trim(regexp_replace(regexp_replace(trim(sql, ' ' || chr(10)
  customer_lifetime_value, CAST(churned AS INT) churned FROM ftable"""),
     "d06_age_histogram": _hist("customers", "age", 35),
     "d06_tenure_by_churn": _hist("(SELECT customer_tenure_days, CAST(churned AS INT) churned FROM ftable)", "customer_tenure_days", 30, "churned"),
+    "d06_age_by_churn": _hist("(SELECT age, CAST(churned AS INT) churned FROM ftable)", "age", 35, "churned"),
     "d06_watch_histogram": _hist("viewing_activity", "watch_duration_minutes", 60),
     "d06_completion_histogram": _hist("viewing_activity", "completion_percentage", 40),
     "d06_amount_histogram": _hist("payments", "amount", 50, "payment_status"),
     "d06_csat_histogram": _hist("support_tickets", "customer_satisfaction_score", 5),
+    "d07_plan_churn_box": _box("(SELECT current_plan, CAST(churned AS INT) churned, engagement_score FROM ftable)", "current_plan, churned", "engagement_score"),
     "d07_engagement_box": _box("(SELECT CAST(churned AS INT) churned, engagement_score FROM ftable)", "churned", "engagement_score"),
     "d07_resolution_box": _box("support_tickets", "issue_category", "resolution_time_hours"),
     "d07_rating_box": _box("customer_feedback", "sentiment_label", "rating"),

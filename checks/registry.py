@@ -453,6 +453,7 @@ TEXT: dict[str, Query] = {
     "t05_retrieve_words": lambda t: retrieval.retrieve(_documents(t), "k 69").select("source", "id", "similarity"),
     "t06_topk_batch": lambda t: retrieval.top_k_batch(t["vectors"], t["vectors"]),
     "t07_evidence_pack": _evidence,
+    "t07_retrieved_evidence": lambda t: retrieval.evidence_for(_documents(t), "k 69"),
     "t08_strip_fence": lambda t: _fenced(t).select("doc_id", guarded.strip_fence_column("sql").alias("sql")),
     "t09_capped_query": lambda t: _handed_over(guarded.execute_safe(QUESTION, _sandbox(t)), t),
     "t10_sql_guard": _guard_verdicts,
@@ -475,10 +476,12 @@ EXPLORE: dict[str, Query] = {
     "d05_customer_grid": lambda t: explore.customer_grid(feature_table(t)),
     "d06_age_histogram": lambda t: explore.histogram(t["customers"], "age", 35),
     "d06_tenure_by_churn": lambda t: explore.histogram(feature_table(t), "customer_tenure_days", 30, ["churned"]),
+    "d06_age_by_churn": lambda t: explore.histogram(feature_table(t), "age", 35, ["churned"]),
     "d06_watch_histogram": lambda t: explore.histogram(t["viewing_activity"], "watch_duration_minutes", 60),
     "d06_completion_histogram": lambda t: explore.histogram(t["viewing_activity"], "completion_percentage", 40),
     "d06_amount_histogram": lambda t: explore.histogram(t["payments"], "amount", 50, ["payment_status"]),
     "d06_csat_histogram": lambda t: explore.histogram(t["support_tickets"], "customer_satisfaction_score", 5),
+    "d07_plan_churn_box": lambda t: explore.box_summary(feature_table(t), ["current_plan", "churned"], "engagement_score"),
     "d07_engagement_box": lambda t: explore.box_summary(feature_table(t), "churned", "engagement_score"),
     "d07_resolution_box": lambda t: explore.box_summary(t["support_tickets"], "issue_category", "resolution_time_hours"),
     "d07_rating_box": lambda t: explore.box_summary(t["customer_feedback"], "sentiment_label", "rating"),
@@ -563,7 +566,11 @@ def _documents_back(t: Bound) -> DataFrame:
 
 
 def _dates_as_text(t: Bound) -> DataFrame:
-    return files.iso_dates(feature_table(t)).select("customer_id", "anchor_date", "last_view_date")
+    """The feature table written as CSV with ISO dates, read back as text."""
+    folder, table = new_path(t.spark, "features"), feature_table(t)
+    files.write_csv({"customer_features": table}, folder)
+    shape = ", ".join(f"`{f.name}` {'bigint' if f.name == 'customer_id' else 'string'}" for f in table.schema.fields)
+    return t.spark.read.schema(shape).option("header", True).csv(f"{folder}/customer_features.csv").select("customer_id", "anchor_date", "last_view_date")
 
 
 def _outputs(t: Bound) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import count_if, pct, ratio
-from tidemark.functions.ordering import exact_percentiles
+from tidemark.functions.ordering import percentiles_of_counts
+from tidemark.session import settle
 
 GRID = ["customer_id", "country", "current_plan", "customer_segment", "engagement_score", "failed_payment_rate",
         "avg_customer_satisfaction", "customer_lifetime_value", "churned"]
@@ -66,23 +67,26 @@ def histogram(df: DataFrame, column: str, bins: int, by: Sequence[str] = ()) ->
     return counted.select(*by, "bin", low.alias("bin_start"), "n").orderBy(*by, "bin")
 
 
-def box_summary(df: DataFrame, group: str, column: str, **cutting) -> DataFrame:
-    """Quartiles, whiskers at 1.5 IQR and outliers per group. Only counts per distinct value are ordered."""
-    counted = df.where(F.col(column).isNotNull()).groupBy(group, F.col(column).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c"))
-    quartiles = exact_percentiles(df.select(group, F.col(column).cast("double").alias("_v")), [group], "_v",
-                                  {"q1": 0.25, "median": 0.5, "q3": 0.75}, **cutting)
+def box_summary(df: DataFrame, group: str | Sequence[str], column: str, **cutting) -> DataFrame:
+    """Quartiles, whiskers at 1.5 IQR and outliers per group of one or more levels. Only counts per distinct value are ordered."""
+    groups = [group] if isinstance(group, str) else list(group)
+    counted = settle(df.where(F.col(column).isNotNull()).groupBy(*groups, F.col(column).cast("double").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_c")), "box-counts")
+    quartiles = percentiles_of_counts(counted, groups, "_v", {"q1": 0.25, "median": 0.5, "q3": 0.75}, **cutting)
     fences = quartiles.withColumns({"lower_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
                                     "upper_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
-    named = fences.withColumnRenamed(group, "_g")
-    joined = counted.join(named, F.col(group).eqNullSafe(F.col("_g")))
+    named = fences.withColumnsRenamed({g: f"_g_{g}" for g in groups})
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    joined = counted.join(named, same)
     inside = F.col("_v").between(F.col("lower_fence"), F.col("upper_fence"))
     stats = ["q1", "median", "q3", "lower_fence", "upper_fence"]
-    return joined.groupBy(group, *stats).agg(
+    return joined.groupBy(*groups, *stats).agg(
         F.min("_v").alias("minimum"), F.max("_v").alias("maximum"),
         F.min(F.when(inside, F.col("_v"))).alias("whisker_low"), F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
         F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).alias("outliers"), F.sum("_c").alias("n")).select(
-        group, *[F.round(c, 6).alias(c) for c in (*stats, "minimum", "maximum", "whisker_low", "whisker_high")],
+        *groups, *[F.round(c, 6).alias(c) for c in (*stats, "minimum", "maximum", "whisker_low", "whisker_high")],
         "outliers", "n")
 
 
