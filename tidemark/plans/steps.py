@@ -1,6 +1,6 @@
 """Resumable steps: every result is published under a name, with a manifest, and a rerun skips what is unchanged.
 
-A step's digest covers its name, its settings, the steps it needs (by their digests) and the tables it reads. A table is
+A step's digest covers the library's sources, its name, its settings, the steps it needs (by their digests) and the tables it reads. A table is
 told by its schema, its plan and the names, sizes and times of its files; rows that are in no file are told by their count and
 hashes. The result is written to a new folder first. Then the pointer ``<folder>/<step>/CURRENT``, the step's manifest, is replaced by
 one rename (local disks, which have no renaming over a file, delete the old pointer just before), so a reader has the old result or
@@ -17,6 +17,8 @@ import uuid
 from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, is_dataclass
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,24 +27,26 @@ POINTER = "CURRENT"
 _RUNNING = re.compile(r"#\d+L?|_pyspark_[0-9a-f]{32}|(?<=\b[xyz])_\d+\b")  # numbers that differ from one session to the next
 
 
-_SETTING = threading.Lock()
 _STEPS: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)  # one thread of a driver at a time works on a step
 
 
+@cache
+def code_digest() -> str:
+    """The sources of this package: results of other code are not taken for those of this one."""
+    top = Path(__file__).resolve().parents[1]
+    held = hashlib.sha256()
+    for path in sorted(p for p in top.rglob("*.py") if p.relative_to(top).parts[0] != "llm"):
+        held.update(str(path.relative_to(top)).encode() + path.read_bytes())
+    return held.hexdigest()
+
+
 def _sha(*parts: object) -> str:
     return hashlib.sha256(json.dumps(parts, sort_keys=True, default=lambda x: asdict(x) if is_dataclass(x) else str(x)).encode()).hexdigest()
 
 
 def table_digest(df: DataFrame) -> str:
     """What a table is made of, without running it where its rows come from files alone."""
-    conf, name = df.sparkSession.conf, "spark.sql.debug.maxToStringFields"
-    with _SETTING:  # the setting is the session's, which threads share
-        before = conf.get(name)
-        conf.set(name, "100000")
-        try:
-            plan = _RUNNING.sub("", df._jdf.queryExecution().analyzed().toString())
-        finally:
-            conf.set(name, before)
+    plan = _RUNNING.sub("", df._jdf.queryExecution().analyzed().treeString(True, False, 1 << 30, False, False))  # no list cut short
     if re.search(r"LocalRelation|LogicalRDD|InMemoryRelation", plan) or not df.inputFiles():
         bits = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).alias("x"),
                       F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")).cast("string").alias("s")).first()
@@ -107,7 +111,7 @@ class Steps:
 
     def _run(self, name: str, build: Callable[[str], Mapping | None], settings: object, tables: Mapping[str, DataFrame] | None,
              needs: Sequence[str]) -> dict:
-        wanted = _sha(name, settings, {k: table_digest(df) for k, df in (tables or {}).items()}, {n: self.manifest(n)["digest"] for n in needs})
+        wanted = _sha(code_digest(), name, settings, {k: table_digest(df) for k, df in (tables or {}).items()}, {n: self.manifest(n)["digest"] for n in needs})
         now = self.manifest(name)
         if now and now["digest"] == wanted:
             return now
