@@ -65,7 +65,7 @@ def test_running_spend_of_a_dominant_customer(spark):
         F.when(F.col("id") < 400, 1).otherwise(F.col("id") % 20 + 2).alias("customer_id"), F.format_string("p%05d", "id").alias("payment_id"),
         F.date_add(F.lit("2024-01-01"), (F.col("id") % 90).cast("int")).alias("payment_date"), F.lit(1.5).cast("decimal(7,2)").alias("amount"),
         F.when(F.col("id") % 4 == 0, "Failed").otherwise("Success").alias("payment_status"))
-    got = {r.payment_id: r.running_successful_spend for r in revenue.running_spend(df, cells=6, rows_per_cell=4).collect()}
+    got = {r.payment_id: r.running_successful_spend for r in revenue.running_spend(df, cells=6).collect()}
     plain = revenue.running_spend(df).collect()
     assert len(got) == n and all(got[r.payment_id] == r.running_successful_spend for r in plain)
 

@@ -30,7 +30,7 @@ def test_resolve_payments(make, subscriptions):
                    9: (None, "unresolved", False)}
 
 
-@pytest.mark.parametrize("cutting", [{}, {"cells": 6, "rows_per_cell": 4}])
+@pytest.mark.parametrize("cutting", [{}, {"cells": 6}])
 def test_resolve_against_interval_join(spark, cutting):
     rng = np.random.default_rng(3)
     start = pd.Timestamp("2024-01-01")

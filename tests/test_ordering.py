@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import ordering as o
 
-CUT = {"cells": 6, "rows_per_cell": 4}
+CUT = {"cells": 6}
 
 
 @pytest.fixture(scope="module")
@@ -25,15 +25,49 @@ def sorted_pandas(df, *by):
     return df.toPandas().sort_values(list(by)).reset_index(drop=True)
 
 
-def test_large_group_is_cut_and_small_table_is_not(skewed):
+def test_large_group_is_cut_and_small_table_is_not(skewed, monkeypatch):
     _, df = skewed
-    cut = o.cut_cells(df, ["g"], ["t"], cells=6, rows_per_cell=16)
-    assert cut.hot is not None
-    per_cell = cut.rows.groupBy("g", o.CELL).count().toPandas()
-    big = per_cell[per_cell.g == 0]["count"]
-    assert len(big) > 1 and big.max() < 300 and big.sum() == 300
-    assert (per_cell[per_cell.g != 0][o.CELL] == 0).all()
-    assert o.cut_cells(df, ["g"], ["t"], cells=100).hot is None
+    assert o.CELL not in o.cut_cells(df, ["g"], ["t"]).columns
+    monkeypatch.setattr(o, "CELL_ROWS", 150)
+    per_cell = o.cut_cells(df, ["g"], ["t"]).groupBy("g", o.CELL).count().toPandas()
+    assert per_cell[o.CELL].nunique() == 6 and per_cell["count"].sum() == 900
+    assert (per_cell.g == 0).sum() > 1 and per_cell.groupby(o.CELL)["count"].sum().max() < 300
+    assert (per_cell.groupby("g")[o.CELL].nunique() > 1).sum() <= 6
+
+
+def test_plan_stays_small_and_nothing_is_broadcast(skewed):
+    _, df = skewed
+    plans = [len(o.running_sum(df, ["g"], ["t"], {"s": F.col("v")}, cells=k)._jdf.queryExecution().optimizedPlan().toString())
+             for k in (4, 200)]
+    assert abs(plans[0] - plans[1]) < 50
+
+
+@pytest.mark.parametrize("cutting", [CUT, {}])
+def test_null_groups_and_values_before_the_first(spark, cutting):
+    rows = [(None if i % 2 else i % 3, i, None if i < 90 or i % 5 else i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, t int, v int")
+    got = {r.t: r for r in o.last_known(o.neighbour(o.running_sum(df, ["g"], ["t"], {"s": F.col("v")}, **cutting),
+                                                    ["g"], ["t"], {"prev": "t", "v1": "v"}, -1, **cutting),
+                                        ["g"], ["t"], "v", "seen", **cutting).collect()}
+    sums, before, seen = {}, {}, {}
+    assert len(got) == 400
+    for g, t, v in rows:
+        if v is not None:
+            sums[g], seen[g] = sums.get(g, 0) + v, v
+        assert (got[t].s, got[t].seen) == (sums.get(g), seen.get(g)) and (got[t].prev, got[t].v1) == before.get(g, (None, None))
+        before[g] = (t, v)
+
+
+def test_decimals_keep_their_type_over_cells(make):
+    df = make("g int, t int, v decimal(12,2)", *[(1, i, f"{i}.25") for i in range(60)])
+    whole, cut = (o.running_sum(df, ["g"], ["t"], {"s": F.col("v")}, **c) for c in ({}, CUT))
+    assert whole.schema["s"].dataType == cut.schema["s"].dataType and sorted(whole.collect()) == sorted(cut.collect())
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "g int, t int, v int")
+    for c in (CUT, {}):
+        assert o.running_sum(df, ["g"], ["t"], {"s": F.col("v")}, **c).isEmpty() and o.ntile(df, 4, ["t"], "q", **c).isEmpty()
 
 
 @pytest.mark.parametrize("cutting", [CUT, {}])

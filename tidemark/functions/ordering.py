@@ -1,161 +1,131 @@
 """Ordered scans that stay parallel: running totals, previous/next values, ranks and ntiles.
 
-A window over one group runs in one task. That is right while groups are small, and wrong for a
-global rank or for a customer who owns a third of all rows. Here a group that is large (found
-from a small repeatable sample of keys) is cut into ordered cells at literal bounds. Each cell is a
-window partition of its own, and the few values carried from cell to cell are added back by a
-broadcast join whose row count is bounded by the number of cells.
-
-The cell of a row depends only on its own key and on literals, so a recomputed task gives the same
-cells again. All orders are ascending, NULLs first.
+A window over one group runs in one task. That is right while groups are small, and wrong for a global rank or for a
+customer who owns a third of all rows. So a table of more than ``CELL_ROWS`` rows is first written in ranges of
+(group, order), one cell a range, and each window works on one group inside one cell. What a group carries over a cell's
+edge follows from one row a cell: the last group of a cell sends its total, the first group of a later cell receives
+the sum of what was sent before. It enters the window as a row ahead of the others, so nothing is joined or broadcast.
+
+The number of cells follows from the rows. No key or bound comes to the driver or into the plan, and the cell of a row is
+a stored column, so a recomputed task sees the same cells. All orders are ascending, NULLs first; rows with equal
+(group, order) are in one cell, so that order should be (nearly) unique.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import settle
 
-CELL = "_cell"
-ROWS_PER_CELL = 16  # sampled keys that make one cell
-CELL_ROWS = 1_000_000  # rows that a cell is meant to hold; the number of cells follows from it, without a ceiling
+CELL, PLACE = "_cell", "_place"
+CELL_ROWS = 1_000_000  # rows that a cell is meant to hold
+BEFORE, ROW, AFTER = 0, 1, 2  # places of carried rows and of rows proper inside a cell
 
 
-@dataclass(frozen=True)
-class Cells:
-    """Rows with their cell number. ``hot`` is set when any group was cut."""
-
-    rows: DataFrame
-    hot: Column | None
-
-
-def _literal(value, data_type) -> Column:
-    return F.lit(value).cast(data_type)
-
-
-def _key_literal(df: DataFrame, row, keys: Sequence[str]) -> Column:
-    return F.struct(*[_literal(row[k], df.schema[k].dataType).alias(k) for k in keys])
+def cut_cells(df: DataFrame, group: Sequence[str], order: Sequence[str], cells: int | None = None,
+              at_rest: bool = False) -> DataFrame:
+    """The rows, with their cell when there is more than one.
 
+    ``at_rest`` says that ``df`` only reads a written table: then it is counted from the file footers as it is. Anything
+    else is written first, so that its joins run once and not again for the count and the range bounds.
+    """
+    if cells is None:
+        df = df if at_rest else settle(df, "rows")
+        cells = -(-df.count() // CELL_ROWS)
+    if cells <= 1:
+        return df
+    ranged = df.repartitionByRange(cells, *group, *order).withColumn(CELL, F.spark_partition_id())
+    return settle(ranged, "cells")
 
-def sample_keys(df: DataFrame, keys: Sequence[str], size: int, rows: int) -> list:
-    """About ``size`` of ``rows`` rows, those with a key hash below a threshold, in key order. Every task keeps its own
-    share, and a row is chosen by its key alone, so the sample is the same each time."""
-    place = F.pmod(F.xxhash64(*keys), F.lit(1 << 40))
-    return df.select(*keys).where(place < int((1 << 40) * min(1.0, size / rows))).orderBy(*keys).collect()
 
+def _is(group: Sequence[str], struct: str) -> Column:
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"{struct}.{g}"))
+    return same
 
-def _bounds_below(bounds: list[Column], row: Column) -> Column:
-    """How many of the sorted bounds are below the row, in two steps of about sqrt(n) comparisons each."""
-    width = max(1, round(len(bounds) ** 0.5))
-    blocks = [bounds[i:i + width] for i in range(0, len(bounds), width)]
-    passed = F.size(F.filter(F.array(*[block[-1] for block in blocks]), lambda bound: bound < row))
-    block = F.get(F.array(*[F.array(*block) for block in blocks]), passed)
-    inside = F.when(passed < len(blocks), F.size(F.filter(block, lambda bound: bound < row))).otherwise(F.lit(0))
-    # whole blocks are ``width`` long; only the last may be shorter, and then every bound has been passed
-    return F.when(passed < len(blocks), passed * width + inside).otherwise(F.lit(len(bounds)))
 
+def _carried(rows: DataFrame, group: Sequence[str], sent: Mapping[str, Column], add: Callable[[Column], Column],
+             forward: bool = True) -> DataFrame:
+    """One row a cell for the group that comes in from other cells: group, cell, place and what is carried to it.
 
-def cut_cells(df: DataFrame, group: Sequence[str], order: Sequence[str], cells: int | None = None,
-              rows_per_cell: int = ROWS_PER_CELL) -> Cells:
-    """Number the cells. ``group + order`` must be (nearly) unique for the cells to be even."""
-    group, order = list(group), list(order)
-    rows = df.count()
-    if cells is None:
-        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        cells = max(8, width, -(-rows // CELL_ROWS))
-    keys = group + order
-    whole = df.withColumn(CELL, F.lit(0))
-    if rows < cells * rows_per_cell:  # nothing is large
-        return Cells(whole, None)
-    sample = sample_keys(df, keys, cells * rows_per_cell, rows)
-    per_group = Counter(tuple(row[g] for g in group) for row in sample)
-    large = {g for g, n in per_group.items() if n >= rows_per_cell}
-    if not large:
-        return Cells(whole, None)
-    ordered = [row for row in sample if tuple(row[g] for g in group) in large]
-    number = _bounds_below([_key_literal(df, row, keys) for row in ordered[rows_per_cell - 1 :: rows_per_cell]],
-                           F.struct(*[F.col(k) for k in keys]))
-    hot = F.lit(True)
+    ``sent`` are aggregates over the rows of the group that leaves a cell, ``add`` puts together what the cells before
+    (``forward``) or behind have sent.
+    """
     if group:
-        named = [dict(zip(group, g)) for g in sorted(large, key=repr)]
-        if len(group) == 1 and all(g[group[0]] is not None for g in named):
-            hot = F.col(group[0]).isin(*[g[group[0]] for g in named])  # can be pushed to the scan
-        else:
-            hot = F.struct(*[F.col(g) for g in group]).isin(*[_key_literal(df, g, group) for g in named])
-    return Cells(df.withColumn(CELL, F.when(hot, number).otherwise(F.lit(0))), hot)
-
-
-
-def _add_carry(rows: DataFrame, carry: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Join the carried values; at most one row per cell of a large group, so it is safe to broadcast."""
-    keys = [*group, CELL]
-    renamed = carry.select(*[F.col(k).alias(f"_key_{k}") for k in keys],
-                           *[c for c in carry.columns if c not in keys])
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
-    return rows.join(F.broadcast(renamed), condition, "left").drop(*[f"_key_{k}" for k in keys])
+        leaves, enters = (F.max, F.min) if forward else (F.min, F.max)
+        whole = F.struct(*group)
+        ends = settle(rows.groupBy(CELL).agg(leaves(whole).alias("_leaves"), enters(whole).alias("_enters")), "cell-ends")
+        leaving = rows.join(ends.select(CELL, "_leaves"), CELL).where(_is(group, "_leaves"))
+        out = leaving.groupBy(CELL, *group).agg(*[v.alias(n) for n, v in sent.items()])
+        asked = ends.select(CELL, "_enters.*")
+    else:
+        out = settle(rows.groupBy(CELL).agg(*[v.alias(n) for n, v in sent.items()]), "cell-totals")
+        asked = out.select(CELL)
+    # a cell asks before it sends, in the direction of the scan
+    both = asked.withColumn("_asks", F.lit(True)).unionByName(out.withColumn("_asks", F.lit(False)), allowMissingColumns=True)
+    along = F.col(CELL).asc() if forward else F.col(CELL).desc()
+    before = Window.partitionBy(*group).orderBy(along, F.col("_asks").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return both.select(*group, CELL, "_asks", *[add(F.col(n)).over(before).alias(n) for n in sent]).where("_asks").drop(
+        "_asks").withColumn(PLACE, F.lit(BEFORE if forward else AFTER))
+
+
+def _scan(df: DataFrame, rows: DataFrame, carried: DataFrame, group: Sequence[str], order: Sequence[str],
+          out: Mapping[str, Callable], preceding: bool) -> DataFrame:
+    """Columns ``out`` by windows inside the cells, over the rows and what is carried to them."""
+    within = Window.partitionBy(*group, CELL).orderBy(PLACE, *order)
+    if preceding:
+        within = within.rowsBetween(Window.unboundedPreceding, 0)
+    both = rows.withColumn(PLACE, F.lit(ROW)).unionByName(carried, allowMissingColumns=True)
+    done = both.select(*[F.col(f"`{c}`") for c in df.columns], PLACE, *[made(within).alias(n) for n, made in out.items()])
+    return done.where(F.col(PLACE) == ROW).drop(PLACE)
 
 
 def running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str], sums: Mapping[str, Column],
                 **cutting) -> DataFrame:
-    """Add inclusive running sums per group in the given order."""
-    cut = cut_cells(df, group, order, **cutting)
-    within = Window.partitionBy(*group, CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = cut.rows.select("*", *[F.sum(value).over(within).alias(name) for name, value in sums.items()])
-    if cut.hot is not None:
-        totals = cut.rows.where(cut.hot).groupBy(*group, CELL).agg(
-            *[F.sum(value).alias(f"_sum_{name}") for name, value in sums.items()])
-        before = Window.partitionBy(*group).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
-        carry = totals.select(*group, CELL, *[F.sum(f"_sum_{name}").over(before).alias(f"_carry_{name}")
-                                              for name in sums])
-        rows = _add_carry(rows, carry, group)
-        for name in sums:
-            zero = F.lit(0).cast(rows.schema[name].dataType)
-            rows = rows.withColumn(name, (F.coalesce(F.col(name), zero)
-                                          + F.coalesce(F.col(f"_carry_{name}"), zero)).cast(rows.schema[name].dataType))
-        rows = rows.drop(*[f"_carry_{name}" for name in sums])
-    return rows.drop(CELL)
+    """Add inclusive running sums per group in the given order; NULL before the first value, as SUM gives it."""
+    rows = cut_cells(df, group, order, **cutting)
+    if CELL not in rows.columns:
+        within = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.select("*", *[F.sum(value).over(within).alias(name) for name, value in sums.items()])
+    kinds = {f.name: f.dataType for f in rows.select(*[F.sum(v).alias(n) for n, v in sums.items()]).schema}
+    held = {n: f"_v_{n}" for n in sums}
+    rows = rows.select("*", *[v.cast(kinds[n]).alias(held[n]) for n, v in sums.items()])
+    carried = _carried(rows, group, {held[n]: F.sum(held[n]).cast(kinds[n]) for n in sums}, F.sum)
+    carried = carried.withColumns({held[n]: F.col(held[n]).cast(kinds[n]) for n in sums})
+    return _scan(df, rows, carried, group, order,
+                 {n: lambda w, n=n: F.sum(held[n]).over(w).cast(kinds[n]) for n in sums}, preceding=True)
 
 
 def neighbour(df: DataFrame, group: Sequence[str], order: Sequence[str], columns: Mapping[str, str],
               step: int, **cutting) -> DataFrame:
     """Add the value of the previous (step -1) or next (step +1) row: ``columns`` maps new name to source."""
-    cut = cut_cells(df, group, order, **cutting)
-    within = Window.partitionBy(*group, CELL).orderBy(*order)
-    at_edge = (F.row_number().over(within) == 1) if step < 0 else F.lead(F.lit(1)).over(within).isNull()
-    rows = cut.rows.select("*", *[F.lag(source, -step).over(within).alias(name) for name, source in columns.items()],
-                           at_edge.alias("_edge"))
-    if cut.hot is not None:
-        position, values = F.struct(*order), F.struct(*columns.values())
-        edge = F.max_by(values, position) if step < 0 else F.min_by(values, position)
-        per_cell = cut.rows.where(cut.hot).groupBy(*group, CELL).agg(edge.alias("_value"))
-        across = Window.partitionBy(*group).orderBy(CELL)
-        carry = per_cell.select(*group, CELL, F.lag("_value", -step).over(across).alias("_carry"))
-        rows = _add_carry(rows, carry, group)
-        for name, source in columns.items():
-            rows = rows.withColumn(name, F.when(F.col("_edge"), F.col(f"_carry.{source}")).otherwise(F.col(name)))
-        rows = rows.drop("_carry")
-    return rows.drop("_edge", CELL)
+    rows = cut_cells(df, group, order, **cutting)
+    if CELL not in rows.columns:
+        within = Window.partitionBy(*group).orderBy(*order)
+        return rows.select("*", *[F.lag(source, -step).over(within).alias(name) for name, source in columns.items()])
+    held = {n: f"_v_{n}" for n in columns}
+    rows = rows.select("*", *[F.col(source).alias(held[n]) for n, source in columns.items()])
+    edge = F.max_by if step < 0 else F.min_by
+    sent = {"_sent": edge(F.struct(*held.values()), F.struct(*order))}
+    carried = _carried(rows, group, sent, lambda v: F.last(v, ignorenulls=True), forward=step < 0)
+    return _scan(df, rows, carried.select("*", "_sent.*").drop("_sent"), group, order,
+                 {n: lambda w, n=n: F.lag(held[n], -step).over(w) for n in columns}, preceding=False)
 
 
 def last_known(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str, out: str, **cutting) -> DataFrame:
     """Add the last value so far that is not NULL, the row's own included."""
-    cut = cut_cells(df, group, order, **cutting)
-    within = Window.partitionBy(*group, CELL).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = cut.rows.withColumn(out, F.last(value, ignorenulls=True).over(within))
-    if cut.hot is not None:
-        position = F.when(F.col(value).isNotNull(), F.struct(*order))  # a cell without a value keeps its place
-        per_cell = cut.rows.where(cut.hot).groupBy(*group, CELL).agg(F.max_by(value, position).alias("_value"))
-        before = Window.partitionBy(*group).orderBy(CELL).rowsBetween(Window.unboundedPreceding, -1)
-        carry = per_cell.select(*group, CELL, F.last("_value", ignorenulls=True).over(before).alias("_carry"))
-        rows = _add_carry(rows, carry, group).withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry")
-    return rows.drop(CELL)
+    rows = cut_cells(df, group, order, **cutting)
+    if CELL not in rows.columns:
+        within = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn(out, F.last(value, ignorenulls=True).over(within))
+    rows = rows.withColumn("_v", F.col(value))
+    latest = F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(*order)))
+    carried = _carried(rows, group, {"_v": latest}, lambda v: F.last(v, ignorenulls=True))
+    return _scan(df, rows, carried, group, order, {out: lambda w: F.last("_v", ignorenulls=True).over(w)}, preceding=True)
 
 
 def row_position(df: DataFrame, order: Sequence[str], out: str = "position", **cutting) -> DataFrame:
@@ -165,15 +135,12 @@ def row_position(df: DataFrame, order: Sequence[str], out: str = "position", **c
 
 def ntile(df: DataFrame, k: int, order: Sequence[str], out: str, **cutting) -> DataFrame:
     """NTILE(k) over the whole table; ``order`` must be unique. The first tiles take the remainder."""
-    total = df.agg(F.count(F.lit(1)).alias("_n"))
-    rows = row_position(df, order, "_position", **cutting).crossJoin(F.broadcast(total))
-    small = F.expr(f"_n div {k}")
-    extra = F.expr(f"_n % {k}")
-    head = extra * (small + 1)
-    p = F.col("_position")
-    tile = F.when(p <= head, F.ceil(p / (small + 1))).otherwise(
-        extra + F.ceil((p - head) / F.greatest(small, F.lit(1))))
-    return rows.withColumn(out, tile.cast("int")).drop("_position", "_n")
+    rest = settle(df, "tiled")
+    small, extra = divmod(rest.count(), k)
+    head, p = extra * (small + 1), F.col("_position")
+    tile = F.when(p <= head, F.ceil(p / (small + 1))).otherwise(extra + F.ceil((p - head) / max(small, 1)))
+    rows = row_position(rest, order, "_position", **{"at_rest": True, **cutting})
+    return rows.withColumn(out, tile.cast("int")).drop("_position")
 
 
 def value_positions(df: DataFrame, columns: Sequence[str], weights: Mapping[str, Column] | None = None,
@@ -189,8 +156,8 @@ def value_positions(df: DataFrame, columns: Sequence[str], weights: Mapping[str,
                  *[w.alias(n) for n, w in weights.items()]) for c in columns])).alias("x")).select("x.*")
     counted = settle(long.where(F.col("value").isNotNull()).groupBy("name", "value").agg(
         F.count(F.lit(1)).alias("equal"), *[F.sum(n).alias(n) for n in weights]), "value-counts")
-    summed = running_sum(counted, ["name"], ["value"],
-                         {"_to": F.col("equal"), **{f"_to_{n}": F.col(n) for n in weights}}, **cutting)
+    summed = running_sum(counted, ["name"], ["value"], {"_to": F.col("equal"), **{f"_to_{n}": F.col(n) for n in weights}},
+                         **{"at_rest": True, **cutting})
     totals = counted.groupBy("name").agg(F.sum("equal").alias("n"))
     return summed.join(F.broadcast(totals), "name").select(  # one row per ranked column
         "name", "value", "equal", (F.col("_to") - F.col("equal")).alias("below"), "n",
@@ -239,7 +206,7 @@ def exact_percentiles(df: DataFrame, group: Sequence[str], value: str, probs: Ma
     """Interpolated percentiles per group from counts of distinct values: no group is held in memory."""
     counted = settle(df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(
         F.count(F.lit(1)).alias("_c")), "value-counts")
-    return percentiles_of_counts(counted, group, value, probs, **cutting)
+    return percentiles_of_counts(counted, group, value, probs, **{"at_rest": True, **cutting})
 
 
 def percentiles_of_counts(counted: DataFrame, group: Sequence[str], value: str, probs: Mapping[str, float],
