@@ -1,7 +1,9 @@
 """The registered corpus queries against brute force, on a small corpus of awkward rows."""
 
 import hashlib
+import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -191,6 +193,36 @@ def test_personal_data(spark, corpus, texts):
     assert pii.redact(t, pii.spans_of(t)).count("<") == 4 and pii.mod_97("GB82WEST12345698765432")
 
 
+BASE_PATTERNS = {  # of the contract
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def plain_base_spans(text):
+    valid = {"ip": lambda m: all(int(p) <= 255 for p in m.split(".")), "email": lambda m: True,
+             "card": lambda m: 12 <= sum(c.isdigit() for c in m) <= 19 and pii.luhn(m),
+             "phone": lambda m: 9 <= sum(c.isdigit() for c in m) <= 15}
+    return [(k, m.start(), m.end()) for k, p in BASE_PATTERNS.items() for m in re.finditer(p, text) if valid[k](m[0])]
+
+
+def test_base_spans_equal_the_plain_patterns():
+    rng = random.Random(11)
+    alphabets = ["ab@.-_ 1", "0123456789.+ -()", "a@b.c-", "12.", "é1@.a+ -9"]
+    for i in range(4000):
+        text = "".join(rng.choices(alphabets[i % len(alphabets)], k=rng.randint(1, 60)))
+        found = sorted(s[:3] for s in pii.spans_of(text) if s[0] in pii.BASE_KINDS)
+        assert found == sorted(plain_base_spans(text)), text
+
+
+@pytest.mark.parametrize("text", ["a-" * 500_000, "1" * 1_000_000 + ".", "1." * 500_000, "a" * 1_000_000 + "@", "@" * 1_000_000,
+                                  "a@b" * 300_000, "0" * 5001 + ".1.2.3", "+1" + "(" * 1_000_000, "AB12" * 250_000])
+def test_long_runs_take_linear_time(text):
+    started = time.perf_counter()
+    spans = pii.spans_of(text)
+    assert time.perf_counter() - started < 10
+    assert ("ip", 0, 5007) in [s[:3] for s in spans] or not text.startswith("00")
+
+
 def test_bpe_is_the_librarys(spark, corpus, texts, library):
     got = {r["doc_id"]: r for r in rows(spark, "op9_bpe_codec", corpus)}
     for doc_id, t in texts:
