@@ -10,6 +10,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from checks.compare import difference
@@ -282,3 +283,66 @@ def test_pipeline(spark, corpus):
 
 def test_pipeline_on_empty_tables(spark, empty):
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def plain_components(docs, n, percent):
+    """component_id of every row, with every two sets compared."""
+    sets = [set(zip(*[w[i:] for i in range(min(n, len(w)))])) if w else set() for w in (SPLIT.findall((t or "").lower()) for _, t in docs)]
+    up = list(range(len(docs)))
+
+    def find(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] and sets[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                up[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(docs):
+        if doc is not None:
+            least[find(i)] = min(least.get(find(i), doc), doc)
+    return sorted((doc, t, least.get(find(i))) for i, (doc, t) in enumerate(docs) if doc is not None)
+
+
+def crowded(rng, size=260):
+    """One large family of near copies, families around it, and one passage in very many texts."""
+    words = [f"w{i}" for i in range(900)]
+    passage, base = rng.choices(words, k=60), rng.choices(words, k=120)
+    docs = []
+    for i in range(size):
+        t = list(base) if i % 3 == 0 else rng.choices(words, k=70) + passage if i % 3 == 1 else docs[rng.randrange(len(docs))][1].split()
+        for _ in range(rng.randint(0, 4)):
+            t[rng.randrange(len(t))] = rng.choice(words)
+        docs.append((i, " ".join(t)))
+    return docs
+
+
+@pytest.mark.parametrize("block", [5, 40, 2000])
+def test_crowded_groups_keep_every_link(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    docs = crowded(random.Random(5))
+    got = jaccard.components(spark.createDataFrame(docs, "doc_id long, text string"))
+    texts = dict(docs)
+    assert sorted((r["doc_id"], texts[r["doc_id"]], r["component_id"]) for r in got.collect()) == plain_components(docs, 4, 85)
+
+
+def test_two_texts_under_one_id_and_null_ids(spark):
+    rng = random.Random(3)
+    a, b, c = (" ".join(rng.choices([f"w{i}" for i in range(500)], k=100)) for _ in range(3))
+    docs = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (None, b + " z"), (None, c), (4, c + " z"), (5, None), (5, " "), (1, a)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumns(
+        {"kept_text": F.lit(1), "nd_th": F.lit(2), "rp_kept": F.lit(3), "pii_": F.lit(4)})
+    got = jaccard.components(df)
+    named = {(r["doc_id"], r["th"]): r["component_id"] for r in got.collect()}
+    want = {(d, t): k for d, t, k in [(1, a, 1), (1, b, 1), (2, a + " x", 1), (3, b + " y", 1), (None, c, 4), (None, b + " z", 1),
+                                      (4, c + " z", 4), (5, None, 5), (5, " ", 5)]}
+    hashed = {(r["doc_id"], r["text"]): r["th"] for r in df.select("doc_id", "text", F.xxhash64("text").alias("th")).collect()}
+    assert named == {(d, hashed[d, t]): k for (d, t), k in want.items()}
+    kept = corpus_pipeline.near_duplicates(spark, df, "")
+    assert kept.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted(
+        [(1, a), (1, b), (None, b + " z"), (None, c), (4, c + " z"), (5, None), (5, " ")], key=repr)
+    assert corpus_pipeline.repeated_passages(spark, df, "").columns == df.columns

@@ -1,20 +1,25 @@
 """Documents whose sets of n-word shingles have a Jaccard similarity of at least ``percent`` / 100, joined exactly.
 
-1. Equal sets are collapsed: one set stands for all its documents, under their smallest doc_id.
+1. Equal sets are collapsed: one set, named by its digest, stands for all its documents.
 2. Sets that may link meet in groups. The sets of a size class differ in at most k shingles when they link, so of
    k + 1 parts into which a hash deals the shingles, one is the same on both sides. A part's hash is a group's token.
    There are some more parts than that, and a set leaves out as many, its smallest ones: a part of one or two shingles
    is equal in many texts that share no more than a passage. (Groups by shared rare shingles instead held every two
    documents that share a passage; figures in the README.)
-3. Sets meet first only by the smallest token that they share with any other, which already joins most near copies, and
-   then by every shared token whose sets are not yet in one component.
+3. Tokens with the same sets are one token. Sets meet first only by the smallest token that they share with any other,
+   which already joins most near copies. While that joins a good part of what is left, a few sets of each component meet
+   the sets still alone, each of those by one open token. Then all sets meet that open tokens tie together, whose sets
+   are not yet in one component.
 4. A group is joined by a trie of the sets, each in the global order of hashes: the traversal carries the overlap of
    shared paths and leaves out subtrees whose set sizes and remaining lengths cannot reach the overlap that a link
-   needs, and subtrees of the probe's own component. A group above ``BLOCK`` sets is joined block against block.
-5. The links that join components give the connected components by repeated spreading of the smallest id.
+   needs, and subtrees of the probe's own component. The largest component of a group is dealt into blocks of ``BLOCK``
+   sets and the other sets meet every block; more other sets than ``BLOCK`` are joined block against block.
+5. The links that join components give the connected components by repeated spreading of the smallest digest; a
+   component is then named by its smallest doc_id.
 
 Null texts and texts without words have an empty set and are linked with nothing. Fewer words than n give one shingle.
-Repeated doc_ids are kept as rows; they share the component of the smallest. Shingles are 64-bit hashes.
+Rows are documents of their own, also under a repeated or null doc_id: a doc_id with two texts may stand in two
+components. A component of null doc_ids alone has a null id. Shingles are 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -194,13 +199,13 @@ def _sets(docs: DataFrame, columns: list[str], make: Callable, schema: str) -> D
 
 
 def digests(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles and 128 bits of the set as two longs (null for an empty one)."""
+    """doc_id, th (hash of the text), n_shingles and 128 bits of the set as two longs (null for an empty one)."""
     def make(batch):
-        found = [digest(shingles(t, n)) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*found))],
-                                         ["doc_id", "n_shingles", "d", "e"])
+        found = [digest(shingles(t, n)) for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in zip(*found))],
+                                         ["doc_id", "th", "n_shingles", "d", "e"])
 
-    return _sets(docs, ["doc_id", "text"], make, "doc_id long, n_shingles long, d long, e long")
+    return _sets(docs, ["doc_id", "th", "text"], make, "doc_id long, th long, n_shingles long, d long, e long")
 
 
 def digest(s: np.ndarray) -> tuple:
@@ -211,26 +216,56 @@ def digest(s: np.ndarray) -> tuple:
 
 
 def _group_links(members: DataFrame, texts: DataFrame, n: int, percent: int, name: str) -> DataFrame:
-    """Links (component, smaller) found inside groups of members (token, doc_id, component)."""
-    # A group above BLOCK is dealt into blocks by hash; each pair of blocks is a group of its own.
-    sized = members.join(members.groupBy("token").agg(F.count(F.lit(1)).alias("size")), "token")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("doc_id"), blocks).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
-        F.least(k, F.col("own")).alias("a"), F.greatest(k, F.col("own")).alias("b")))
-    spread = sized.withColumns({"blocks": blocks, "own": own}).withColumn("pair", F.explode(pairs)).select(
-        "token", "pair.a", "pair.b", "own", "doc_id", "component").join(texts, "doc_id")
+    """Links (component, smaller) found inside groups of members (token, set, component)."""
+    parts_ = members.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
+    sizes = parts_.groupBy("token").agg(F.sum("k").alias("size"), F.max("k").alias("largest"),
+                                        F.max_by("component", "k").alias("big"))
+    few = F.col("size") - F.col("largest") <= BLOCK
+    blocks = F.when(few, F.ceil(F.col("largest") / BLOCK)).otherwise(F.ceil(F.col("size") / BLOCK)).cast("int")
+    own = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+
+    def pair(a, b):
+        return F.struct(a.alias("a"), b.alias("b"))
+
+    pairs = F.when(~few, F.transform(every, lambda k: pair(F.least(k, F.col("own")), F.greatest(k, F.col("own"))))).when(
+        F.col("component") == F.col("big"), F.array(pair(F.col("own"), F.col("own")))).otherwise(
+        F.transform(every, lambda k: pair(k, k)))
+    spread = members.join(sizes, "token").withColumn("blocks", blocks).withColumn("own", own).withColumn(
+        "pair", F.explode(pairs)).select("token", "pair.a", "pair.b", "own", "set", "component").join(texts, "set")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         a, b = int(part["a"].iloc[0]), int(part["b"].iloc[0])
         sets = [tuple(shingles(t, n).tolist()) for t in part["text"]]
         side = None if a == b else [int(x == b) for x in part["own"]]
-        links = join_group(part["doc_id"].tolist(), part["component"].tolist(), sets, percent, side)
+        links = join_group(part["set"].tolist(), part["component"].tolist(), sets, percent, side)
         return pd.DataFrame(links, columns=["component", "smaller"]).astype("int64")
 
     return settle(spread.groupBy("token", "a", "b").applyInPandas(run, "component long, smaller long").distinct(), name)
 
 
+def _open(shared: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """(token, set, component, least) of the tokens whose sets are of several components; least is the smallest of these."""
+    joined = smallest_reachable(links, "component", "smaller", f"{name}-joined")
+    placed = settle(shared.join(joined.withColumnRenamed("node", "set"), "set", "left").select(
+        "token", "set", F.coalesce("smallest", "set").alias("component")), f"{name}-placed")
+    group = placed.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    return settle(placed.join(group.select("token", "least"), "token"), f"{name}-open")
+
+
+def _delegates(open_: DataFrame, step: int) -> DataFrame:
+    """Up to four sets of each component of several sets, in each open token; single sets in one open token each."""
+    def pick(i):
+        return F.min(F.struct(F.xxhash64("set", F.lit(step), F.lit(i)).alias("h"), F.col("set").alias("s")))["s"]
+
+    each = open_.groupBy("token", "component").agg(F.array_distinct(F.array(*[pick(i) for i in range(4)])).alias("sets"),
+                                                  F.count(F.lit(1)).alias("k"))
+    several = each.where("k > 1").select("token", F.explode("sets").alias("set"), "component")
+    alone = each.where("k = 1").groupBy(F.col("sets")[0].alias("set")).agg(
+        F.min_by("token", F.xxhash64("token", F.lit(step))).alias("token"), F.first("component").alias("component"))
+    return several.unionByName(alone)
+
+
 def smallest_reachable(links: DataFrame, a: str, b: str, name: str) -> DataFrame:
     """(node, smallest) for every node of the links: labels spread over the links, and over labels, until none changes."""
     edges = settle(links.select(F.col(a).alias("x"), F.col(b).alias("y")).unionByName(
@@ -250,10 +285,15 @@ def smallest_reachable(links: DataFrame, a: str, b: str, name: str) -> DataFrame
 
 
 def components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
-    docs = docs.select("doc_id", "text")
+    """doc_id, th, n_shingles, component_id, leads of every row of ``docs`` (doc_id, text).
+
+    ``th`` is xxhash64 of the text. ``leads`` marks the rows of one text of each component: the smallest doc_id, then the
+    smallest digest and hash. A row with an empty set leads itself.
+    """
+    docs = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     sized = settle(digests(docs, n), "digests")
-    reps = settle(sized.where("d IS NOT NULL").groupBy("d", "e").agg(F.min("doc_id").alias("rep")), "representatives")
+    reps = settle(sized.where("d IS NOT NULL").groupBy("d", "e").agg(
+        F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "th")).alias("row")), "representatives")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # a task gives the tokens of equal sets once
@@ -267,42 +307,61 @@ def components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
                     found.append(tokens(s, percent).view(np.int64))
                     ids.append(np.full(len(found[-1]), d, np.int64))
             flat = [np.concatenate(c) if c else np.zeros(0, np.int64) for c in (found, ids)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in flat], ["token", "d"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in flat], ["token", "set"])
 
     group = Window.partitionBy("token")
-    shared = docs.select("text").mapInArrow(make, "token long, d long").withColumns({
-        "least": F.min("d").over(group), "most": F.max("d").over(group)}).where("least < most").select("token", "d").distinct()
-    shared = settle(shared.join(reps.where("rep IS NOT NULL"), "d").select("token", F.col("rep").alias("doc_id")), "shared")
-    wanted = shared.select("doc_id").distinct()
-    texts = settle(docs.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text")), "candidates")
-
-    first = shared.groupBy("doc_id").agg(F.min("token").alias("token")).withColumn("component", F.col("doc_id"))
-    found = _group_links(first, texts, n, percent, "links-1")
-    joined = smallest_reachable(found, "component", "smaller", "joined-1")
-    placed = settle(shared.join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "token", "doc_id", F.coalesce("smallest", "doc_id").alias("component")), "placed")
-    group = placed.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
-    open_ = settle(placed.join(group.select("token", "least"), "token"), "open")
-    # Components that open tokens tie together meet once, as a cluster; clusters above BLOCK meet token by token.
+    meeting = settle(docs.select("text").mapInArrow(make, "token long, set long").withColumns({
+        "least": F.min("set").over(group), "most": F.max("set").over(group)}).where("least < most").select(
+        "token", "set").distinct(), "meeting")
+    alike = meeting.groupBy("token").agg(F.bit_xor(F.xxhash64("set")).alias("x"), F.bit_xor(F.xxhash64("set", F.lit(1))).alias("y"),
+                                         F.count(F.lit(1)).alias("k")).groupBy("x", "y", "k").agg(F.min("token").alias("token"))
+    shared = settle(meeting.join(alike.select("token"), "token", "left_semi"), "shared")
+    rows = reps.join(shared.select(F.col("set").alias("d")).distinct(), "d", "left_semi").select(
+        F.col("d").alias("set"), F.col("row.doc_id").alias("row_id"), F.col("row.th").alias("row_th"))
+    texts = settle(docs.join(rows, F.col("doc_id").eqNullSafe(F.col("row_id")) & (F.col("th") == F.col("row_th"))).groupBy(
+        "set").agg(F.first("text").alias("text")), "candidates")
+
+    first = shared.groupBy("set").agg(F.min("token").alias("token")).withColumn("component", F.col("set"))
+    links = _group_links(first, texts, n, percent, "links-first")
+    open_ = _open(shared, links, "first")
+    step = 0
+    while True:
+        step += 1
+        more = _group_links(_delegates(open_, step), texts, n, percent, f"links-{step}")
+        links = links.unionByName(more)
+        had, joined = open_.select("component").distinct().count(), more.select("component").distinct().count()
+        if joined:
+            open_ = _open(shared, links, f"step-{step}")
+        if 10 * joined <= had:
+            break
+    # Components that open tokens tie together meet once, as a cluster; with many sets outside of its largest component,
+    # a cluster meets token by token.
     ties = smallest_reachable(open_.where("component <> least"), "component", "least", "ties")
-    members = settle(placed.select("doc_id", "component").distinct().join(ties, F.col("component") == F.col("node")).select(
-        F.col("smallest").alias("token"), "doc_id", "component"), "members")
-    large = members.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > BLOCK).select(F.col("token").alias("large"))
-    more = _group_links(members.join(large, F.col("token") == F.col("large"), "left_anti"), texts, n, percent, "links-2")
+    members = settle(open_.select("set", "component").distinct().join(ties, F.col("component") == F.col("node")).select(
+        F.col("smallest").alias("token"), "set", "component"), "members")
+    of_cluster = members.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
+        (F.sum("k") - F.max("k")).alias("outside"))
+    large = settle(of_cluster.where(F.col("outside") > BLOCK).select("token"), "large")
+    links = links.unionByName(_group_links(members.join(large, "token", "left_anti"), texts, n, percent, "links-clusters"))
     if not large.isEmpty():
-        far = members.join(large, F.col("token") == F.col("large"), "left_semi").select("doc_id")
-        more = more.unionByName(_group_links(open_.drop("least").join(far, "doc_id", "left_semi"), texts, n, percent, "links-3"))
-    final = smallest_reachable(found.unionByName(more), "component", "smaller", "joined-2")
-    named = reps.join(final, F.col("rep") == F.col("node"), "left").select(
-        "d", "e", F.coalesce("smallest", "rep").alias("component_id"))
+        far = ties.join(large.withColumnRenamed("token", "smallest"), "smallest", "left_semi").select(F.col("node").alias("component"))
+        links = links.unionByName(_group_links(open_.drop("least").join(far, "component", "left_semi"), texts, n, percent, "links-tokens"))
+    final = smallest_reachable(links, "component", "smaller", "joined")
+    placed = settle(reps.join(final, F.col("d") == F.col("node"), "left").select(
+        "d", "e", "rep", F.col("row.th").alias("row_th"), F.coalesce("smallest", "d").alias("key")), "placed")
+    lead = F.min(F.when(F.col("rep").isNotNull(), F.struct("rep", "d", "e", "row_th")))
+    named = placed.join(placed.groupBy("key").agg(lead.alias("lead")), "key").select(
+        "d", "e", F.col("lead.rep").alias("component_id"), F.when(F.col("d") == F.col("lead.d"), F.col("lead.row_th")).alias("lead_th"))
     return sized.join(named, ["d", "e"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "th", "n_shingles", F.when(F.col("d").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce(F.col("d").isNull() | ((F.col("th") == F.col("lead_th")) & (F.col("doc_id") == F.col("component_id"))),
+                   F.lit(False)).alias("leads"))
 
 
 def op5_trie_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     modest_batches(spark)
-    return components(table(spark, sf_dir, "documents"))
+    return components(table(spark, sf_dir, "documents")).drop("th", "leads")
 
 
 #: For the checking engine: the links of all pairs that share a shingle, then the smallest id reachable by links.
