@@ -2,9 +2,10 @@
 
 quality rules -> n-gram Jaccard join (one document of each group stays) -> substring dedup -> PII -> best-fit packing.
 
-Rows with a null text, or without a word, fail the quality rules. Repeated rows of one doc_id fall into one group of the
-Jaccard join and one of them stays. The near-duplicate stage takes five words and a similarity of 0.8. A text from which
-passages were cut goes when no word is left. Columns that a table has besides are carried along to the last stage.
+Rows with a null text, or without a word, fail the quality rules. Repeated rows of one doc_id and text count as one in
+the Jaccard join and one of them stays; other texts under that doc_id are documents of their own. The near-duplicate
+stage takes five words and a similarity of 0.8. A text from which passages were cut goes when no word is left. Columns
+that a table has besides, of any name, are carried along up to the last stage, which returns pieces.
 """
 
 from __future__ import annotations
@@ -34,6 +35,17 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of the table has them."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio."""
     _ready(spark)
@@ -43,20 +55,23 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group; rows with a null doc_id stay."""
+    """One document with the smallest doc_id of each group; rows with a null doc_id stay."""
     _ready(spark)
-    found = jaccard.components(docs, n=5, percent=80)
-    stay = found.where("component_id = doc_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(stay, "doc_id", "left_semi").select(*[f"`{c}`" for c in docs.columns])
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    doc, th = _free(docs, "nd_doc", "nd_th")
+    found = jaccard.components(docs, n=5, percent=80).where("leads AND doc_id IS NOT NULL")
+    stay = found.select(F.col("doc_id").alias(doc), F.col("th").alias(th)).distinct()
+    named = docs.join(stay, (F.col("doc_id") == F.col(doc)) & F.xxhash64("text").eqNullSafe(F.col(th)), "left_semi")
+    one = named.withColumn(th, F.xxhash64("text")).dropDuplicates(["doc_id", th]).drop(th)
+    return one.unionByName(docs.where("doc_id IS NULL"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that earlier documents hold; a document without any words left goes."""
     _ready(spark)
-    changed = passages.repeats(docs).select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), "kept_text")
-    joined = docs.join(changed, (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_th")), "left")
-    cut = joined.withColumn("text", F.coalesce("kept_text", "text")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    doc, th, kept = _free(docs, "rp_doc", "rp_th", "rp_kept")
+    changed = passages.repeats(docs).select(F.col("doc_id").alias(doc), F.col("th").alias(th), F.col("kept_text").alias(kept))
+    joined = docs.join(changed, (F.col("doc_id") == F.col(doc)) & (F.xxhash64("text") == F.col(th)), "left")
+    cut = joined.withColumn("text", F.coalesce(kept, "text")).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return _counted(cut.select(*[f"`{c}`" for c in docs.columns]))
 
 
