@@ -329,6 +329,30 @@ def test_crowded_groups_keep_every_link(spark, monkeypatch, block):
     assert sorted((r["doc_id"], texts[r["doc_id"]], r["component_id"]) for r in got.collect()) == plain_components(docs, 4, 85)
 
 
+@pytest.mark.parametrize("percent", [40, 80, 85])
+def test_sketches_lose_no_link(percent):
+    """Every set with a link to another component stays, whatever the sizes; sets with a passage in common go."""
+    dice = np.random.default_rng(percent)
+    sets, component = [], []
+    for n in (1, 2, 9, 31, 33, 100, 255, 257, 700):
+        base = np.unique(dice.integers(1, 1 << 62, n).astype(np.uint64))
+        for cut in (0, n // 12, n // 6, n // 2, n - n // 5):
+            sets.append(np.unique(np.concatenate([base[cut:], dice.integers(1, 1 << 62, cut // 2).astype(np.uint64)])))
+            component.append(len(sets) // 2)
+    component = np.asarray(component)
+    for side in (None, np.arange(len(sets)) % 3 == 0):
+        near = jaccard.partnered(np.asarray([len(s) for s in sets]), component, [jaccard.sketch(s) for s in sets], percent, side)
+        for i, s in enumerate(sets):
+            for j, t in enumerate(sets[:i]):
+                both = len(np.intersect1d(s, t))
+                if component[i] != component[j] and (side is None or side[i] != side[j]):
+                    assert 100 * both < percent * (len(s) + len(t) - both) or near[i] and near[j]
+    passage = dice.integers(1, 1 << 62, 150).astype(np.uint64)
+    sets = [np.unique(np.concatenate([passage, dice.integers(1, 1 << 62, 150).astype(np.uint64)])) for _ in range(50)]
+    if percent >= 80:
+        assert not jaccard.partnered(np.full(50, 300), np.arange(50), [jaccard.sketch(s) for s in sets], percent).any()
+
+
 def test_two_texts_under_one_id_and_null_ids(spark):
     rng = random.Random(3)
     a, b, c = (" ".join(rng.choices([f"w{i}" for i in range(500)], k=100)) for _ in range(3))

@@ -10,11 +10,14 @@
    which already joins most near copies. While that joins a good part of what is left, a few sets of each component meet
    the sets still alone, each of those by one open token. Then all sets meet that open tokens tie together, whose sets
    are not yet in one component.
-4. A group is joined by a trie of the sets, each in the global order of hashes: the traversal carries the overlap of
+4. A set's sketch is the parity of its shingles in each of at least 2 n bits: two sets differ in at least as many
+   shingles as their sketches in bits. A set whose sketch is too far from those of all sets of other components in its
+   group links with none of them and leaves the group before texts are fetched.
+5. A group is joined by a trie of the sets left, each in the global order of hashes: the traversal carries the overlap of
    shared paths and leaves out subtrees whose set sizes and remaining lengths cannot reach the overlap that a link
    needs, and subtrees of the probe's own component. The largest component of a group is dealt into blocks of ``BLOCK``
    sets and the other sets meet every block; more other sets than ``BLOCK`` are joined block against block.
-5. The links that join components give the connected components by repeated spreading of the smallest digest; a
+6. The links that join components give the connected components by repeated spreading of the smallest digest; a
    component is then named by its smallest doc_id.
 
 Null texts and texts without words have an empty set and are linked with nothing. Fewer words than n give one shingle.
@@ -39,6 +42,8 @@ from tidemark.session import settle
 SLACK, SLACK_SHARE = 4, 8  # parts above k + 1: so many at least, and one for so many of k
 BLOCK = 2000
 
+_SKETCH = np.uint64(0x94D049BB133111EB)
+
 
 def shingles(text: str | None, n: int = 4) -> np.ndarray:
     """Distinct shingle hashes, ascending; words are lower-cased in A-Z."""
@@ -190,6 +195,40 @@ def join_group(ids: list, component: list, sets: list, percent: int, side: list
     return [(c, trie.find(c)) for c in parent if trie.find(c) != c]
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parity of the number of shingles in each bit; bits are a power of two, so halves laid over each other give a shorter one."""
+    bits = max(64, 1 << (2 * len(s) - 1).bit_length())
+    odd = np.bincount((mix(s + _SKETCH) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def partnered(sizes: np.ndarray, component: np.ndarray, sketches: list[bytes], percent: int, side: np.ndarray | None = None) -> np.ndarray:
+    """Which sets may link with one of another component (and of the other side): sketches differ in few enough bits."""
+    out, widths = np.zeros(len(sizes), bool), np.asarray([len(x) for x in sketches])
+    for width in np.unique(widths):
+        inside = widths == width
+        rows = np.flatnonzero(inside | ((widths > width) & (percent * sizes <= 100 * sizes[inside].max())))
+        rows = rows[np.lexsort((sizes[rows], ~inside[rows]))]
+        folded = np.empty((len(rows), width // 8), np.uint64)
+        for k, i in enumerate(rows):
+            words = np.frombuffer(sketches[i], np.uint64)
+            while len(words) * 8 > width:
+                words = words[:len(words) // 2] ^ words[len(words) // 2:]
+            folded[k] = words
+        for k in range(int(inside.sum())):
+            i, others = rows[k], rows[k + 1:]
+            both = sizes[i] + sizes[others]
+            far = component[others] != component[i]
+            if side is not None:
+                far &= side[others] != side[i]
+            at = np.flatnonzero(far & (100 * np.minimum(sizes[i], sizes[others]) >= percent * np.maximum(sizes[i], sizes[others])))
+            apart = np.bitwise_count(folded[k + 1 + at] ^ folded[k]).sum(axis=1, dtype=np.int64)
+            near = others[at[apart <= both[at] - 2 * needed(0, both[at], percent)]]
+            if len(near):
+                out[i] = out[near] = True
+    return out
+
+
 def _sets(docs: DataFrame, columns: list[str], make: Callable, schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -199,13 +238,15 @@ def _sets(docs: DataFrame, columns: list[str], make: Callable, schema: str) -> D
 
 
 def digests(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, th (hash of the text), n_shingles and 128 bits of the set as two longs (null for an empty one)."""
+    """doc_id, th (hash of the text), n_shingles, 128 bits of the set as two longs and its sketch (null for an empty one)."""
     def make(batch):
-        found = [digest(shingles(t, n)) for t in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in zip(*found))],
-                                         ["doc_id", "th", "n_shingles", "d", "e"])
+        sets = [shingles(t, n) for t in batch.column(2).to_pylist()]
+        columns = [pa.array(c, pa.int64()) for c in zip(*map(digest, sets))]
+        sketches = pa.array([sketch(s) if len(s) else None for s in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, sketches],
+                                         ["doc_id", "th", "n_shingles", "d", "e", "sketch"])
 
-    return _sets(docs, ["doc_id", "th", "text"], make, "doc_id long, th long, n_shingles long, d long, e long")
+    return _sets(docs, ["doc_id", "th", "text"], make, "doc_id long, th long, n_shingles long, d long, e long, sketch binary")
 
 
 def digest(s: np.ndarray) -> tuple:
@@ -216,7 +257,7 @@ def digest(s: np.ndarray) -> tuple:
 
 
 def _group_links(members: DataFrame, texts: DataFrame, n: int, percent: int, name: str) -> DataFrame:
-    """Links (component, smaller) found inside groups of members (token, set, component)."""
+    """Links (component, smaller) found inside groups of members (token, set, component); texts has set, text, n_shingles, sketch."""
     parts_ = members.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
     sizes = parts_.groupBy("token").agg(F.sum("k").alias("size"), F.max("k").alias("largest"),
                                         F.max_by("component", "k").alias("big"))
@@ -231,8 +272,21 @@ def _group_links(members: DataFrame, texts: DataFrame, n: int, percent: int, nam
     pairs = F.when(~few, F.transform(every, lambda k: pair(F.least(k, F.col("own")), F.greatest(k, F.col("own"))))).when(
         F.col("component") == F.col("big"), F.array(pair(F.col("own"), F.col("own")))).otherwise(
         F.transform(every, lambda k: pair(k, k)))
-    spread = members.join(sizes, "token").withColumn("blocks", blocks).withColumn("own", own).withColumn(
-        "pair", F.explode(pairs)).select("token", "pair.a", "pair.b", "own", "set", "component").join(texts, "set")
+    spread = members.join(sizes.where("size > largest"), "token").withColumn("blocks", blocks).withColumn("own", own).withColumn(
+        "pair", F.explode(pairs)).select("token", "pair.a", "pair.b", "own", "set", "component")
+
+    def select(part: pa.Table) -> pa.Table:
+        if part.num_rows < 2:
+            return part.slice(0, 0).select(kept)
+        a, b = part["a"][0].as_py(), part["b"][0].as_py()
+        side = None if a == b else part["own"].to_numpy() == b
+        near = partnered(part["n_shingles"].to_numpy(), part["component"].to_numpy(), part["sketch"].to_pylist(), percent, side)
+        return part.select(kept).filter(pa.array(near))
+
+    kept = ["token", "a", "b", "own", "set", "component"]
+    near = spread.join(texts.select("set", "n_shingles", "sketch"), "set").groupBy("token", "a", "b").applyInArrow(
+        select, "token long, a int, b int, own int, set long, component long")
+    met = near.join(texts.select("set", "text"), "set")
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         a, b = int(part["a"].iloc[0]), int(part["b"].iloc[0])
@@ -241,7 +295,7 @@ def _group_links(members: DataFrame, texts: DataFrame, n: int, percent: int, nam
         links = join_group(part["set"].tolist(), part["component"].tolist(), sets, percent, side)
         return pd.DataFrame(links, columns=["component", "smaller"]).astype("int64")
 
-    return settle(spread.groupBy("token", "a", "b").applyInPandas(run, "component long, smaller long").distinct(), name)
+    return settle(met.groupBy("token", "a", "b").applyInPandas(run, "component long, smaller long").distinct(), name)
 
 
 def _open(shared: DataFrame, links: DataFrame, name: str) -> DataFrame:
@@ -293,7 +347,8 @@ def components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     docs = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     sized = settle(digests(docs, n), "digests")
     reps = settle(sized.where("d IS NOT NULL").groupBy("d", "e").agg(
-        F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "th")).alias("row")), "representatives")
+        F.min("doc_id").alias("rep"), F.min(F.struct("doc_id", "th")).alias("row"),
+        F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch")), "representatives")
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()  # a task gives the tokens of equal sets once
@@ -317,9 +372,9 @@ def components(docs: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
                                          F.count(F.lit(1)).alias("k")).groupBy("x", "y", "k").agg(F.min("token").alias("token"))
     shared = settle(meeting.join(alike.select("token"), "token", "left_semi"), "shared")
     rows = reps.join(shared.select(F.col("set").alias("d")).distinct(), "d", "left_semi").select(
-        F.col("d").alias("set"), F.col("row.doc_id").alias("row_id"), F.col("row.th").alias("row_th"))
+        F.col("d").alias("set"), F.col("row.doc_id").alias("row_id"), F.col("row.th").alias("row_th"), "n_shingles", "sketch")
     texts = settle(docs.join(rows, F.col("doc_id").eqNullSafe(F.col("row_id")) & (F.col("th") == F.col("row_th"))).groupBy(
-        "set").agg(F.first("text").alias("text")), "candidates")
+        "set").agg(*[F.first(c).alias(c) for c in ("text", "n_shingles", "sketch")]), "candidates")
 
     first = shared.groupBy("set").agg(F.min("token").alias("token")).withColumn("component", F.col("set"))
     links = _group_links(first, texts, n, percent, "links-first")
