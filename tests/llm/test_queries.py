@@ -233,6 +233,25 @@ def test_bpe_is_the_librarys(spark, corpus, texts, library):
         assert bpe_codec.codec(tokens.vocabulary())[0].decode(ids) == t
 
 
+def test_decode_of_batches(spark, library):
+    path = tokens.vocabulary()
+    own = bpe_codec.BytePairCodec(path)
+    lists = [own.encode("naïve Straße, 東京 🙂\n"), [], None, own.encode("🙂")[:1], own.encode("é")[-1:] * 3, [0, 2, 50256]]
+    df = spark.createDataFrame(list(enumerate(lists)), "k int, ids array<int>").coalesce(1)
+    got = {r["k"]: r["decoded"] for r in bpe_codec.decode(df, path).collect()}
+    assert got == {k: None if x is None else library.decode(x, skip_special_tokens=False) for k, x in enumerate(lists)}
+    assert own.decode_many(bpe_codec.pa.array([[], None], bpe_codec.pa.list_(bpe_codec.pa.int32()))) == ["", None]
+
+
+def test_frequent_pre_tokens_are_merged_once():
+    own, merged = bpe_codec.BytePairCodec(tokens.vocabulary()), []
+    plain = own._merge
+    own._merge = lambda raw: merged.append(raw) or plain(raw)
+    assert own.encode("andthose.\nWhere andthose, andthose!") == [i for w in ["andthose", ".", "\n", "Where", " andthose", ",", " andthose", "!"]
+                                                                 for i in plain(w.encode())]
+    assert len(merged) == len(set(merged)) == 7
+
+
 def test_url_rules(spark, corpus):
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in rows(spark, "op10_url_rules", corpus)}
     assert [got[i] for i in range(9)] == [

@@ -2,7 +2,7 @@
 
 encode: every byte of a pre-token is a symbol; adjacent pairs wait in a heap by (rank, position). The best pair is
 merged into its left symbol, its new neighbours enter the heap, and entries whose symbols have changed are skipped.
-decode: the vocabulary's byte strings are concatenated.
+Frequent pre-tokens are remembered. decode: the vocabulary's byte strings are concatenated, for a whole batch at once.
 
 Null texts count as empty and give no ids. Repeated rows give the same ids; an empty table gives an empty one.
 """
@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,9 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+KEPT_PRE_TOKENS = 200_000  # a memory bound only: the latest ones are remembered
+
+
 class BytePairCodec:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
@@ -50,22 +54,31 @@ class BytePairCodec:
         self.of_byte = [0] * 256
         for letter, b in letters.items():
             self.of_byte[b] = vocab[letter]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rules: list[tuple[int, int, int]] = []  # left, right and merged id by rank
+        none: dict[int, int] = {}
+        self.ranks = [none] * size  # by left id: rank << 32 of each right id
         for rank, merge in enumerate(file["model"]["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.merges[vocab[left], vocab[right]] = rank, vocab[left + right]
+            a, b = vocab[left], vocab[right]
+            self.rules.append((a, b, vocab[left + right]))
+            if self.ranks[a] is none:
+                self.ranks[a] = {}
+            self.ranks[a][b] = rank << 32
         self._pre_token = regex.compile(PRE_TOKEN)
+        self._merged = lru_cache(maxsize=KEPT_PRE_TOKENS)(lambda word: self._merge(word.encode()))
+        self._bytes = pa.array(self.strings, pa.large_binary())
         self._at_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
 
     def _merge(self, raw: bytes) -> list[int]:
         ids = [self.of_byte[b] for b in raw]
-        n, merges = len(ids), self.merges
+        n, ranks, rules = len(ids), self.ranks, self.rules
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [(*m, i, ids[i], ids[i + 1]) for i in range(n - 1) if (m := merges.get((ids[i], ids[i + 1])))]
-        queue = [(rank, i, new, left, right) for rank, new, i, left, right in queue]
-        heapq.heapify(queue)
+        queue = [m | i for i, (a, b) in enumerate(zip(ids, ids[1:])) if (m := ranks[a].get(b)) is not None]
+        heapq.heapify(queue)  # an entry is rank << 32 | position
         while queue:
-            _, i, new, left, right = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            left, right, new = rules[entry >> 32]
+            i = entry & 0xFFFFFFFF
             j = after[i]
             if ids[i] != left or j >= n or ids[j] != right:  # stale
                 continue
@@ -73,10 +86,10 @@ class BytePairCodec:
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if m := merges.get((new, ids[k])):
-                    heapq.heappush(queue, (m[0], i, m[1], new, ids[k]))
-            if (h := before[i]) >= 0 and (m := merges.get((ids[h], new))):
-                heapq.heappush(queue, (m[0], h, m[1], ids[h], new))
+                if (m := ranks[new].get(ids[k])) is not None:
+                    heapq.heappush(queue, m | i)
+            if (h := before[i]) >= 0 and (m := ranks[ids[h]].get(new)) is not None:
+                heapq.heappush(queue, m | h)
         return [i for i in ids if i >= 0]
 
     def encode(self, text: str) -> list[int]:
@@ -86,7 +99,7 @@ class BytePairCodec:
                 out.append(self.special[piece])
             else:
                 for word in self._pre_token.findall(piece):
-                    out += self._merge(word.encode())
+                    out += self._merged(word)
         return out
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
@@ -95,6 +108,16 @@ class BytePairCodec:
     def decode(self, ids: Sequence[int]) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", errors="replace")
 
+    def decode_many(self, ids: pa.ListArray) -> list[str | None]:
+        """The text of every list; null for a null one."""
+        found = self._bytes.take(ids.flatten())
+        at = np.frombuffer(found.buffers()[1], np.int64)[found.offset:found.offset + len(found) + 1]
+        raw = found.buffers()[2].to_pybytes() if len(found) else b""
+        ends = np.cumsum([0, *pc.fill_null(pc.list_value_length(ids), 0).to_pylist()])
+        ends = at[ends].tolist() if len(found) else [0] * len(ends)
+        return [raw[a:b].decode("utf-8", errors="replace") if there else None
+                for a, b, there in zip(ends, ends[1:], ids.is_valid().to_pylist())]
+
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> tuple[BytePairCodec, ChunkEncoder]:
@@ -126,7 +149,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path)[0]
         for batch in batches:
-            texts = [None if x is None else own.decode(x) for x in batch.column(kept.index(ids)).to_pylist()]
+            texts = own.decode_many(batch.column(kept.index(ids)))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), pa.array(texts, pa.string())],
                                              [*kept, out])
 
