@@ -141,6 +141,11 @@ def test_fingerprints(spark, corpus, texts):
     assert abs(by[10]["near_edited"] - exact) < 4 * (exact * (1 - exact) / fingerprints.BINS) ** 0.5
 
 
+def test_texts_are_shuffled_once_for_fingerprints(spark, corpus):
+    plan = fingerprints.fingerprint_pairs(spark.read.parquet(f"{corpus}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(part") == 1
+
+
 def test_fingerprint_share_is_the_generalised_jaccard(spark):
     dice = np.random.default_rng(2)
     a = dice.integers(0, 300, 4000)

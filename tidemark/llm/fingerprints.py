@@ -152,7 +152,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     else:
         ranges, n = 1, 1
         placed = docs.withColumn("at", F.struct(F.lit(0).alias("part"), F.lit(False).alias("again")))
-    dealt = placed.select("doc_id", "text", "at.part", "at.again").repartition(n, "part").withColumn("sig", signature(F.col("text")))
+    # fingerprints before the shuffle: behind it they would hide from the window that rows of a part lie together
+    dealt = placed.select("doc_id", "text", "at.part", "at.again").withColumn("sig", signature(F.col("text"))).repartition(n, "part")
     order = Window.partitionBy("part").orderBy("again", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     return dealt.withColumn("next", F.lead(F.struct("doc_id", "text", "sig")).over(order)).where("NOT again").drop("part", "again")
 
