@@ -46,6 +46,15 @@ def test_slicing_finds_and_numbers_eigenvalues(values):
     assert np.allclose(a @ vectors, vectors * got, atol=1e-9 * max(1, np.abs(want).max()))
 
 
+def test_leading_pairs_of_constant_dimensions():
+    """Eigenvalues as far from the middle of an interval as the wanted one, and blocks that rounding could make singular."""
+    x = np.array([[-213.0, 94, -202, 141, 256], [145, -270, -167, 499, 256]])
+    for a in (np.diag([3.7, 0]), np.diag([8.0, 4, 0, 0]), np.cov(x.T, bias=True)):
+        values, vectors = whitening.leading_pairs(a, min(4, len(a)))
+        assert np.allclose(values, np.linalg.eigvalsh(a)[::-1][:4], atol=1e-9)
+        assert np.allclose(a @ vectors, vectors * values, atol=1e-9)
+
+
 def test_inertia_counts_eigenvalues_above_a_shift():
     dice = np.random.default_rng(1)
     for _ in range(50):
