@@ -84,6 +84,36 @@ def test_grammar_random_access():
     assert (repair.tokens_at(g, 1, 33, 500) == ids[733:1233]).all()
 
 
+def test_a_grammar_is_opened_once():
+    """Each rule is opened once for a block, and no frequent pair is left, also of pairs that share a slot."""
+    dice = np.random.default_rng(3)
+    for n in (1, 2, 40, 3000):
+        ids = dice.integers(0, 7, n).astype(np.uint32)
+        g = repair.compress(ids, np.unique([1, -(-n // 2), n]))
+        assert (repair.expand_all(g) == ids).all() and (repair.expand(g.symbols, g.rules) == ids).all()
+        inside = ~np.isin(np.arange(1, len(g.symbols)), g.ends)
+        left = Counter(zip(g.symbols[:-1][inside].tolist(), g.symbols[1:][inside].tolist()))
+        assert max(left.values(), default=0) < repair.LEAST_FREQUENCY
+
+
+def test_a_chunk_is_looked_up_once_a_batch(library):
+    class Counted(dict):
+        looked = 0
+
+        def get(self, key):
+            self.looked += 1
+            return super().get(key)
+
+    encode = lambda parts: [np.asarray(e.ids, "<u4").tobytes() for e in library.encode_batch(parts, add_special_tokens=False)]
+    encoder = tokens.ChunkEncoder(encode, ["<|endoftext|>"])
+    encoder._inner[0] = counted = Counted()
+    assert encoder(["a b b c"] * 50 + [None]) == encode(["a b b c"]) * 50 + [b""]
+    assert counted.looked <= 4  # a, b, c and the empty text
+    dice, letters = random.Random(5), [*"  aB1!\n\t\x0b\x0c\r\x1c\x1f\x85\xa0\u1680\u180e\u2009\u2028\u200b\u3000é東", "🙂", "'s", "<|endoftext|>"]
+    odd = ["".join(dice.choices(letters, k=dice.randint(0, 25))) for _ in range(5000)]
+    assert encoder(odd) == encode(odd)
+
+
 def test_passages_and_jaccard_by_sql(spark, corpus):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT DISTINCT * FROM read_parquet('{corpus}/documents.parquet/*.parquet')")

@@ -85,7 +85,7 @@ def pieces(docs: DataFrame, vocabulary_path: str, capacity: int = CAPACITY) -> D
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, row_id, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                                             encoder(batch.column(2).to_pylist())):
+                                             encoder(batch.column(2))):
                 raw = found + tail
                 rows += [(row_id, doc_id, k, a, n, zlib.crc32(raw[4 * a:4 * (a + n)]))
                          for k, (a, n) in enumerate(cut(len(raw) // 4, capacity))]

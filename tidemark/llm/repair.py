@@ -44,14 +44,26 @@ class Grammar:
     lengths: np.ndarray  # tokens of each rule
 
 
-def _chosen(pairs: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Positions of wanted pairs that do not overlap: in a run of neighbours every second one, from its first."""
-    at = np.flatnonzero(wanted)
+_SLOT_BITS = 18
+
+
+def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A slot for each pair."""
+    h = left * np.uint32(0x9E3779B1)
+    h ^= h >> np.uint32(15)
+    h += right
+    h *= np.uint32(0x85EBCA77)
+    return (h >> np.uint32(32 - _SLOT_BITS)).astype(np.intp)
+
+
+def _chosen(at: np.ndarray, rule: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of ascending positions (and their rules) those that do not overlap: in a run of neighbours every second one, from its first."""
     if not len(at):
-        return at
+        return at, rule
     first = np.concatenate(([True], np.diff(at) > 1))
     run = at[first][np.cumsum(first) - 1]
-    return at[(at - run) % 2 == 0]
+    taken = (at - run) % 2 == 0
+    return at[taken], rule[taken]
 
 
 def compress(tokens: np.ndarray, ends: np.ndarray, base: int = VOCABULARY, least: int = LEAST_FREQUENCY) -> Grammar:
@@ -63,25 +75,23 @@ def compress(tokens: np.ndarray, ends: np.ndarray, base: int = VOCABULARY, least
     lengths = np.zeros(0, dtype=np.uint32)
     frequency = max(least, len(seq) >> 9)
     while len(seq) > 1:
-        pairs = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
-        inside = ~last[:-1]
-        slot = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
-        busy = np.bincount(slot[inside], minlength=1 << 18) >= frequency  # a pair is no more frequent than its slot
-        maybe = inside & busy[slot]
-        found, counts = np.unique(pairs[maybe], return_counts=True)
+        slot = _slot(seq[:-1], seq[1:])
+        busy = np.bincount(slot, minlength=1 << _SLOT_BITS) >= frequency  # a pair is no more frequent than its slot
+        at = np.flatnonzero(busy.take(slot) & ~last[:-1])
+        pairs = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+        found, counts = np.unique(pairs, return_counts=True)
         found = found[counts >= frequency]
         if len(found):
-            at = np.flatnonzero(maybe)
-            hit = np.minimum(np.searchsorted(found, pairs[at]), len(found) - 1)
-            good = found[hit] == pairs[at]
-            wanted = np.zeros(len(pairs), dtype=bool)
-            wanted[at[good]] = True
-            at = _chosen(pairs, wanted)
-            used, rule, counts = np.unique(pairs[at], return_inverse=True, return_counts=True)
-            keep = counts > 1
+            left, right = (found >> np.uint64(32)).astype(np.uint32), found.astype(np.uint32)
+            of_slot = np.zeros(1 << _SLOT_BITS, dtype=np.int32)
+            of_slot[_slot(left, right)] = np.arange(len(found), dtype=np.int32)  # of several in a slot one; the others' turn comes later
+            rule = of_slot.take(slot.take(at))
+            wanted = found.take(rule) == pairs
+            at, rule = _chosen(at[wanted], rule[wanted])
+            keep = np.bincount(rule, minlength=len(found)) > 1
             number = np.cumsum(keep) - 1 + base + len(lengths)
             at, rule = at[keep[rule]], rule[keep[rule]]
-            left, right = (used[keep] >> np.uint64(32)).astype(np.uint32), used[keep].astype(np.uint32)
+            left, right = left[keep], right[keep]
             lengths = np.concatenate([lengths, _length(left, base, lengths) + _length(right, base, lengths)])
             rules.append(np.stack([left, right], axis=1))
             seq[at] = number[rule]
@@ -117,6 +127,19 @@ def expand(symbols: np.ndarray, rules: np.ndarray, base: int = VOCABULARY) -> np
     return seq
 
 
+def expand_all(grammar: Grammar, base: int = VOCABULARY) -> np.ndarray:
+    """All tokens of a grammar: every rule is opened once, then symbols are copied from the opened rules."""
+    opened = expand(np.arange(base, base + len(grammar.rules), dtype=np.uint32), grammar.rules, base)
+    starts = np.cumsum(grammar.lengths, dtype=np.int64) - grammar.lengths
+    source = np.concatenate([opened, grammar.symbols])
+    width = _length(grammar.symbols, base, grammar.lengths)
+    ends = np.cumsum(width, dtype=np.int64)
+    begin = np.arange(len(opened), len(source))
+    rule = grammar.symbols >= base
+    begin[rule] = starts[grammar.symbols[rule].astype(np.int64) - base]
+    return source[np.repeat(begin - ends + width, width) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 def tokens_at(grammar: Grammar, doc: int, start: int, length: int, base: int = VOCABULARY) -> np.ndarray:
     """``length`` tokens of document number ``doc`` from ``start``, opening only the symbols that cover them."""
     symbols = grammar.symbols[grammar.ends[doc - 1] if doc else 0:grammar.ends[doc]]
@@ -145,7 +168,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary_path: str, block_tokens: in
         encoder, shard, number = library_encoder(vocabulary_path), TaskContext.get().partitionId(), 0
         ids, found, size = [], [], 0
         for batch in batches:
-            for doc_id, coded in zip(batch.column(0).to_pylist(), encoder(batch.column(1).to_pylist())):
+            for doc_id, coded in zip(batch.column(0).to_pylist(), encoder(batch.column(1))):
                 ids.append(doc_id)
                 found.append(coded)
                 size += len(coded) // 4 + 1
@@ -179,7 +202,7 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 g = _grammar(row)
-                tokens = expand(g.symbols, g.rules)
+                tokens = expand_all(g)
                 per_symbol = np.cumsum(_length(g.symbols, VOCABULARY, g.lengths), dtype=np.int64)
                 ends = per_symbol[g.ends - 1]
                 starts = np.concatenate(([0], ends[:-1]))

@@ -14,14 +14,17 @@ from collections.abc import Callable, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHED_CHUNKS = 1_000_000  # a memory bound only: a full cache is used as it is, and starts anew after as many misses
+CACHED_CHUNKS = 1_000_000  # a memory bound only: the chunks used last are kept, half of them for sure
 
 JOINED = 64
 
-_RUN = re.compile(r"\s \s|\s \Z")
+_SPACE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"  # of texts without control separators
+_RUN = rf"{_SPACE} (?:{_SPACE}|\z)"
 _CUT = re.compile(r" (?=\S)|(?<!\s) ")
-_ODD = re.compile("[\x1c-\x1f]")
+_ODD = r"[\x1c-\x1f]"
 
 EncodeMany = Callable[[list[str]], list[bytes]]
 
@@ -36,44 +39,64 @@ class ChunkEncoder:
 
     def __init__(self, encode_many: EncodeMany, special: Sequence[str], limit: int = CACHED_CHUNKS) -> None:
         self._encode, self._special, self._limit = encode_many, tuple(special), limit
-        self._inner: dict[str, bytes] = {}
-        self._first: dict[str, bytes] = {}
-        self._missed = 0
-
-    def _whole(self, text: str) -> bool:
-        return any(s in text for s in self._special) or _ODD.search(text) is not None
-
-    def _known(self, cache: dict[str, bytes], wanted: set[str], lead: str) -> dict[str, bytes]:
-        """The cache if it can hold all that is wanted, else what is wanted alone."""
-        new = list(wanted.difference(cache))
-        found = zip(new, self._encode([lead + p for p in new]), strict=True)
-        if len(cache) + len(new) <= self._limit:
-            cache.update(found)
-            return cache
-        self._missed += len(new)
-        out = {p: cache[p] for p in wanted if p in cache} | dict(found)
-        if self._missed > self._limit:
-            cache.clear()
-            self._missed = 0
-        return out
-
-    def __call__(self, texts: Sequence[str | None]) -> list[bytes]:
+        self._inner: list[dict[str, bytes]] = [{}, {}]  # chunks used since the last turn, and those of the turn before
+        self._first: list[dict[str, bytes]] = [{}, {}]
+
+    def _odd(self, texts: pa.Array) -> np.ndarray:
+        """Which texts have a special token or control separators (2), or spaces at which cutting is not safe (1)."""
+        whole = pc.match_substring_regex(texts, _ODD)
+        for s in self._special:
+            whole = pc.or_(whole, pc.match_substring(texts, s))
+        return np.where(whole, 2, np.asarray(pc.match_substring_regex(texts, _RUN), np.int8))
+
+    def _known(self, cache: list[dict[str, bytes]], wanted: list[str], lead: str) -> list[bytes]:
+        """The ids of distinct chunks, kept for the next call."""
+        recent, before = cache
+        found = list(map(recent.get, wanted))
+        holes = [i for i, ids in enumerate(found) if ids is None]
+        new = []
+        for i in holes:
+            found[i] = before.get(wanted[i])
+            if found[i] is None:
+                new.append(i)
+        for i, ids in zip(new, self._encode([lead + wanted[i] for i in new]), strict=True):
+            found[i] = ids
+        if len(recent) + len(holes) > self._limit // 2:
+            cache[:] = [{}, recent]
+        if len(holes) <= self._limit // 2:
+            cache[0].update((wanted[i], found[i]) for i in holes)
+        return found
+
+    def _of_chunks(self, lists: pa.ListArray) -> list[bytes]:
+        """Ids of texts given as lists of their chunks: each distinct chunk is looked up once."""
+        parts = lists.flatten().dictionary_encode()
+        wanted, place = parts.dictionary.to_numpy(zero_copy_only=False).tolist(), parts.indices.to_numpy().astype(np.int64)
+        ends = np.cumsum([0, *lists.value_lengths().to_pylist()])
+        heads, head = np.unique(place[ends[:-1]], return_inverse=True)
+        place[ends[:-1]] = len(wanted) + head
+        ids = self._known(self._inner, wanted, " ") + self._known(self._first, [wanted[i] for i in heads], "")
+        found = pa.array(ids, pa.large_binary()).take(pa.array(place))
+        at = np.frombuffer(found.buffers()[1], np.int64)[ends].tolist()
+        raw = memoryview(found.buffers()[2] or b"")
+        return [bytes(raw[a:b]) for a, b in zip(at, at[1:])]
+
+    def __call__(self, texts: Sequence[str | None] | pa.Array) -> list[bytes]:
         """A null text is an empty one."""
-        texts = [t or "" for t in texts]
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        texts = pc.fill_null(texts, "")
         out: list[bytes] = [b""] * len(texts)
-        odd = [i for i, t in enumerate(texts) if self._whole(t)]
-        for i, ids in zip(odd, self._encode([texts[i] for i in odd]), strict=True):
-            out[i] = ids
-        skip = set(odd)
-        heads: dict[int, str] = {}
-        rest: dict[int, list[str]] = {}
-        for i, t in enumerate(texts):
-            if i not in skip:
-                heads[i], *rest[i] = chunks(t)
-        first = self._known(self._first, set(heads.values()), "")
-        inner = self._known(self._inner, set().union(*rest.values()), " ").__getitem__
-        for i, parts in rest.items():
-            out[i] = first[heads[i]] + b"".join(map(inner, parts))
+        odd = self._odd(texts)
+
+        def put(kind: int, encode: Callable[[pa.Array], list[bytes]]) -> None:
+            at = np.flatnonzero(odd == kind)
+            if len(at):
+                for i, ids in zip(at.tolist(), encode(texts.take(pa.array(at))), strict=True):
+                    out[i] = ids
+
+        put(0, lambda some: self._of_chunks(pc.split_pattern(some, " ")))
+        put(1, lambda some: self._of_chunks(pa.array(map(_CUT.split, some.to_pylist()), pa.list_(pa.string()))))
+        put(2, lambda some: self._encode(some.to_pylist()))
         return out
 
 
@@ -89,7 +112,7 @@ def library_encoder(path: str) -> ChunkEncoder:
 
     def encode_many(texts: list[str]) -> list[bytes]:
         """Many short texts in one call: the special token, whose id no other text gives, ends each."""
-        if not special or any(s in t for s in special for t in texts):
+        if not special or any(s in "".join(texts) for s in special):
             return [np.asarray(e.ids, dtype="<u4").tobytes() for e in tool.encode_batch_fast(texts, add_special_tokens=False)]
         mark, out = tool.token_to_id(special[0]), []
         for at in range(0, len(texts), JOINED):
