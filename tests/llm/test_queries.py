@@ -278,6 +278,17 @@ def test_decode_of_batches(spark, library):
     assert own.decode_many(bpe_codec.pa.array([[], None], bpe_codec.pa.list_(bpe_codec.pa.int32()))) == ["", None]
 
 
+def test_a_codec_query_holds_one_worker_a_task_and_few_chunks(spark, corpus):
+    plan = queries.QUERIES["op9_bpe_codec"](spark, corpus)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    encoder = tokens.ChunkEncoder(lambda parts: [p.encode() for p in parts], [], limit=100)
+    for i in range(100):
+        assert encoder([f"{i} often {i}x{i} {i}y"]) == [f"{i} often {i}x{i} {i}y".encode()]
+        assert i == 0 or any("often" in held for held in encoder._inner)
+    assert sum(map(len, encoder._inner)) <= 100
+    assert bpe_codec.codec(tokens.vocabulary())[1]._limit < 1_000_000
+
+
 def test_frequent_pre_tokens_are_merged_once():
     own, merged = bpe_codec.BytePairCodec(tokens.vocabulary()), []
     plain = own._merge

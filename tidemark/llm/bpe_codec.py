@@ -36,7 +36,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-KEPT_PRE_TOKENS = 200_000  # a memory bound only: the latest ones are remembered
+# Memory bounds only, for the workers of all cores of an executor together: the latest ones are remembered.
+KEPT_PRE_TOKENS = 100_000
+KEPT_CHUNKS = 500_000
+BATCH_ROWS = 500
 
 
 class BytePairCodec:
@@ -123,46 +126,59 @@ class BytePairCodec:
 def codec(path: str) -> tuple[BytePairCodec, ChunkEncoder]:
     """One codec and chunk cache per Python worker."""
     own = BytePairCodec(path)
-    return own, ChunkEncoder(own.encode_many, list(own.special))
+    return own, ChunkEncoder(own.encode_many, list(own.special), KEPT_CHUNKS)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``df`` with the token ids of its text."""
-    kept = [c for c in df.columns if c != out]
+def _with(batch: pa.RecordBatch, name: str, found: pa.Array, drop: str | None = None) -> pa.RecordBatch:
+    """``batch`` with a column in the place of ``name``, at its end."""
+    kept = [(c, n) for c, n in zip(batch.columns, batch.schema.names) if n not in (name, drop)]
+    return pa.RecordBatch.from_arrays([*(c for c, _ in kept), found], [*(n for _, n in kept), name])
+
+
+def encode_batches(batches: Iterator[pa.RecordBatch], path: str, text: str, out: str, keep_text: bool = True) -> Iterator[pa.RecordBatch]:
+    own = codec(path)[1]
+    for batch in batches:
+        found = own(batch.column(text))
+        ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), dtype="<i4")))
+        yield _with(batch, out, ids, None if keep_text else text)
+
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)[1]
-        for batch in batches:
-            found = own(batch.column(kept.index(text)).to_pylist())
-            ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), dtype="<i4")))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), ids], [*kept, out])
+def decode_batches(batches: Iterator[pa.RecordBatch], path: str, ids: str, out: str) -> Iterator[pa.RecordBatch]:
+    own = codec(path)[0]
+    for batch in batches:
+        yield _with(batch, out, pa.array(own.decode_many(batch.column(ids)), pa.string()))
 
-    shown = df.select(*[f"`{c}`" for c in kept])
-    return shown.mapInArrow(run, T.StructType([*shown.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
+
+def _added(df: DataFrame, *more: T.StructField, drop: str | None = None) -> T.StructType:
+    names = {f.name for f in more} | {drop}
+    return T.StructType([*(f for f in df.schema.fields if f.name not in names), *more])
+
+
+def encode(df: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
+    """``df`` with the token ids of its text."""
+    ids = T.StructField(out, T.ArrayType(T.IntegerType()))
+    return df.mapInArrow(lambda batches: encode_batches(batches, path, text, out), _added(df, ids))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text of its ids (null ids: null)."""
-    kept = [c for c in df.columns if c != out]
+    return df.mapInArrow(lambda batches: decode_batches(batches, path, ids, out), _added(df, T.StructField(out, T.StringType())))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path)[0]
-        for batch in batches:
-            texts = own.decode_many(batch.column(kept.index(ids)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), pa.array(texts, pa.string())],
-                                             [*kept, out])
 
-    shown = df.select(*[f"`{c}`" for c in kept])
-    return shown.mapInArrow(run, T.StructType([*shown.schema.fields, T.StructField(out, T.StringType())]))
+def there_and_back(df: DataFrame, path: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``df`` with ids and the text that they decode to in the place of its text: both in one Python worker a task."""
+    fields = T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(out, T.StringType())
+    return df.mapInArrow(lambda batches: decode_batches(encode_batches(batches, path, text, ids, False), path, ids, out),
+                         _added(df, *fields, drop=text))
 
 
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
-    modest_batches(spark)
+    modest_batches(spark, BATCH_ROWS)
     path = vocabulary()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = decode(encode(docs, path).drop("text"), path)
+    coded = there_and_back(docs, path)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
