@@ -48,6 +48,14 @@ def test_a_stopped_step_leaves_the_published_result(spark, tmp_path):
         spark.read.parquet(before["path"]).count()
 
 
+def test_no_step_begins_in_a_stopped_run(spark, tmp_path):
+    steps = Steps(spark, str(tmp_path))
+    steps.stop()
+    with pytest.raises(RuntimeError, match="not begun"):
+        steps.run("t", lambda path: None)
+    assert steps.manifest("t") is None and Steps(spark, str(tmp_path)).run("t", lambda path: None)["step"] == "t"
+
+
 def test_digests_tell_tables_apart(spark, tmp_path):
     rows = [(1, "a"), (2, "b")]
     first = table_digest(spark.createDataFrame(rows, "x int, y string"))
