@@ -218,6 +218,61 @@ def test_left_out_draws_never_win(n):
     assert (fingerprints.samples(terms, weights) == (np.arange(64) << 32) + ids.astype(np.int64)).all()
 
 
+def _bag(text):
+    return Counter(zip(["", *SPLIT.findall(text)], SPLIT.findall(text)))
+
+
+def test_fingerprints_of_the_query_run_no_python(spark, corpus):
+    plan = fingerprints.fingerprint_pairs(spark.read.parquet(f"{corpus}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "MapInArrow" not in plan
+
+
+def test_word_pairs_are_counted_by_columns(spark, texts):
+    odd = list(enumerate([*(t for _, t in texts), " \n\t\x0b\x0c\r ", " a  a\ta\nb\u00a0c a a ", "\x1fx", None]))
+    rows = fingerprints.term_runs(spark.createDataFrame(odd, "doc_id long, text string"), ["doc_id"]).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r["doc_id"], []).append(r)
+    for doc_id, text in odd:
+        bag = _bag(text or "")
+        if not bag:
+            assert [r["term"] for r in found[doc_id]] == [None]
+            continue
+        assert sorted(r["weight"] for r in found[doc_id]) == sorted(bag.values())
+        assert {r["total"] for r in found[doc_id]} == {sum(bag.values())} and len({r["term"] for r in found[doc_id]}) == len(bag)
+
+
+def _drawn(spark, pairs, **options):
+    """Samples by columns of both texts of each pair."""
+    found = spark.createDataFrame([(i, k, x) for i, p in enumerate(pairs) for k, x in enumerate(p)], "i int, k int, text string")
+    out = [(set(), set()) for _ in pairs]
+    for r in fingerprints.drawn(found, ["i", "k"], **options).collect():
+        out[r["i"]][r["k"]].add(r["sample"])
+    return out
+
+
+@pytest.mark.parametrize(("a", "b"), [
+    ("same " * 1000 + _numbered(100, 1), "same " * 1000 + _numbered(100, 2)),
+    ("same " * 1000 + _numbered(300, 1), "same " * 300 + _numbered(300, 1)),
+    ((_numbered(8, 1) + "\n") * 60 + _numbered(150, 2), (_numbered(8, 1) + "\n") * 45 + _numbered(150, 3)),
+    (_numbered(3000, 1), _numbered(3000, 1) + " " + _numbered(2000, 2))])
+def test_column_draws_agree_with_the_generalised_jaccard(spark, a, b):
+    bags = [_bag(x) for x in (a, b)]
+    exact = sum((bags[0] & bags[1]).values()) / sum((bags[0] | bags[1]).values())
+    pairs = [tuple(" ".join(f"{w}y{i}" for w in x.split()) for x in (a, b)) for i in range(20)]
+    got = _drawn(spark, pairs)
+    assert all(len(x) == fingerprints.BINS for p in got for x in p)
+    alike = np.mean([len(x & y) / fingerprints.BINS for x, y in got])
+    assert abs(alike - exact) < 4 * (exact * (1 - exact) / (20 * fingerprints.BINS)) ** 0.5
+
+
+def test_column_draws_left_out_never_win(spark):
+    """Samples with a limit on the draws looked at are those of all draws."""
+    dice = np.random.default_rng(5)
+    pairs = [(" ".join(map(str, dice.integers(0, 9, 400))), " ".join(map(str, dice.integers(0, 2000, 900)))) for _ in range(3)]
+    assert _drawn(spark, pairs) == _drawn(spark, pairs, likely=1000.0)
+
+
 def test_personal_data(spark, corpus, texts):
     got = {r["doc_id"]: r for r in rows(spark, "op8_pii_spans", corpus)}
     r, t = got[11], dict(texts)[11]

@@ -6,7 +6,12 @@ Gamma(2, 1) and b is uniform, all taken from the hash of the term and the number
 with rank ln c - r (t - b + 1); the sample keeps the term and t of the smallest rank. Two texts agree in a sample with
 the probability of their generalised Jaccard similarity, so the share of agreeing samples estimates it.
 
-The draws are made with numpy inside tasks, ``CHUNK`` terms at a time. Terms are 64-bit hashes of word pairs.
+``drawn`` makes the draws of a table with columns only, and the query takes its rows from there. Three independent
+exponentials a, d and h give the same r, c and b: c = a + d, g = ln(c / a), r = g + h, b = h / r (a Gamma(2, 1) is the sum
+of two exponentials, and the share of one in it is uniform and independent of the sum). Then exp(rank) is a * exp(-r t),
+and a itself for weight 1. As it is at least (1 - exp(-a)) * exp(-h) / w, most draws are left out before any logarithm.
+Ranks are compared as 1 - exp(-exp(rank)), which is a hash as it stands for weight 1. ``signature`` is the same method with
+numpy and hashes of its own, for a column by itself, ``CHUNK`` terms at a time. Terms are 64-bit hashes of word pairs.
 
 A null or empty text has no terms and an empty fingerprint; two empty fingerprints are alike with 1, an empty and a
 filled one with 0. The next document is the next row by doc_id (null first, repeated ids in the order of their
@@ -20,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import mix, modest_batches, table, window_hashes, word_hashes, word_spans
+from tidemark.llm.text import mix, table, window_hashes, word_hashes, word_spans
 
 BINS = 64
+LIKELY = 40.0  # exp(rank) of a sample is exponential with the sum of weights: above this over the sum with 4e-18
+PARTS = 4  # ranges of ids for each shuffle partition, so the samples of a range are grouped in memory
 CHUNK = 1024  # terms whose draws are held at a time
 
 _LOW, _HALF = np.uint64(0xFFFFFFFF), np.uint64(32)
@@ -98,6 +105,49 @@ def signature(text: Column, bins: int = BINS) -> Column:
     return F.arrow_udf(lambda texts: _signatures(texts, bins), "array<bigint>")(text)
 
 
+def _uniform(bits: Column) -> Column:
+    """In (0, 1), from the upper 52 bits of a hash."""
+    return (F.shiftrightunsigned(bits, 12) + 0.5) * 2.0 ** -52
+
+
+def term_runs(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, total (the sum of weights), term and weight of each distinct word pair of ``text``; a null term without words."""
+    space = F.lit(" \t\n\x0b\f\r")
+    bare = F.trim("text", space)
+    words = F.when(F.length(bare) > 0, F.split(bare, r"[\x20\x09-\x0D]+"))
+    pairs = F.sort_array(F.transform("words", lambda x, i: F.xxhash64(F.get("words", i - 1), x)))
+    starts = F.array_compact(F.transform("pairs", lambda x, i: F.when(x.eqNullSafe(F.get("pairs", i - 1)), None).otherwise(i)))
+    runs = F.transform("starts", lambda at, i: F.struct(
+        F.get("pairs", at).alias("term"), (F.coalesce(F.get("starts", i + 1), F.col("total")) - at).alias("weight")))
+    rows = texts.select(*keys, words.alias("words")).select(*keys, pairs.alias("pairs"))
+    rows = rows.select(*keys, "pairs", F.size("pairs").alias("total"), starts.alias("starts"))
+    return rows.select(*keys, "total", runs.alias("runs")).select(*keys, "total", F.inline_outer("runs"))
+
+
+def drawn(texts: DataFrame, keys: list[str], bins: int = BINS, likely: float = LIKELY) -> DataFrame:
+    """keys, number and sample: number * 2**32 + 32 bits of the term and t of the smallest rank; null without words.
+
+    ``keys`` tell the rows of ``texts`` apart; a row without words is one row here.
+    """
+    single = F.col("weight") == 1
+    bound = F.lit(float(likely)) * F.col("weight") / F.col("total")
+    terms = term_runs(texts, keys).select(*keys, "term", "weight", bound.alias("bound"), (bound * 2.0 ** 52).cast("long").alias("cells"))
+    numbers = F.broadcast(texts.sparkSession.range(bins).select(F.col("id").cast("int").alias("number")))
+    first = F.xxhash64("term", "number")  # 1 - exp(-a)
+    second = F.xxhash64(first)  # exp(-h)
+    can_win = F.when(single, F.shiftrightunsigned(first, 12) <= F.col("cells")).otherwise(_uniform(first) * _uniform(second) < F.col("bound"))
+    rows = terms.join(numbers, F.when(F.col("term").isNull(), F.col("number") == 0).otherwise(can_win))
+    rows = rows.select(*keys, "number", "term", "weight", _uniform(first).alias("u"), F.when(~single, -F.log1p(-_uniform(first))).alias("a"),
+                       F.when(~single, -F.log(_uniform(F.xxhash64(second)))).alias("d"), F.when(~single, -F.log(_uniform(second))).alias("h"))
+    rows = rows.withColumn("r", F.log((F.col("a") + F.col("d")) / F.col("a")) + F.col("h"))
+    rows = rows.withColumn("t", F.coalesce(F.floor((F.log("weight") + F.col("h")) / F.col("r")), F.lit(0)))  # ln w / r + b
+    rank = F.when(F.col("t") > 0, -F.expm1(-F.col("a") * F.exp(-F.col("r") * F.col("t")))).otherwise(F.col("u"))
+    bits = F.xxhash64("term", "t").bitwiseAND(F.lit(0xFFFFFFFF))
+    sample = F.when(F.col("term").isNotNull(), F.shiftleft(F.col("number").cast("long"), 32) + bits)
+    rows = rows.select(*keys, "number", rank.alias("rank"), sample.alias("sample"))
+    return rows.groupBy(*keys, "number").agg(F.min_by("sample", "rank").alias("sample"))
+
+
 def likeness(a: Column, b: Column) -> Column:
     """Agreeing samples among the samples that either side fills."""
     def filled(s):
@@ -130,13 +180,13 @@ def _range_of(doc_id: Column, starts: list[int]) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, sig and the same of the next document by doc_id as next.
+    """part, row (place in its part), again, doc_id, text and next_text, the text of the next document by doc_id.
 
-    Rows go to ranges of ids, sorted inside; the row that starts a range also goes, marked, to the end of the range before.
+    Rows go to ranges of ids, sorted inside; the row that starts a range also goes, marked ``again``, to the end of the range before.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     starts = _range_starts(docs, ranges)
     if starts:
         n = len(starts)
@@ -150,12 +200,12 @@ def with_next(docs: DataFrame) -> DataFrame:
         closing = first.withColumn("at", F.struct(F.lit(n - 1).alias("part"), F.lit(True).alias("again")))
         placed = placed.unionByName(closing)
     else:
-        ranges, n = 1, 1
+        n = 1
         placed = docs.withColumn("at", F.struct(F.lit(0).alias("part"), F.lit(False).alias("again")))
-    # fingerprints before the shuffle: behind it they would hide from the window that rows of a part lie together
-    dealt = placed.select("doc_id", "text", "at.part", "at.again").withColumn("sig", signature(F.col("text"))).repartition(n, "part")
+    dealt = placed.select("doc_id", "text", "at.part", "at.again").repartition(n, "part")
     order = Window.partitionBy("part").orderBy("again", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    return dealt.withColumn("next", F.lead(F.struct("doc_id", "text", "sig")).over(order)).where("NOT again").drop("part", "again")
+    following = F.coalesce(F.lead("text").over(order), F.col("text"))
+    return dealt.select("part", F.row_number().over(order).alias("row"), "again", "doc_id", "text", following.alias("next_text"))
 
 
 def edited(text: Column, other: Column) -> Column:
@@ -166,16 +216,24 @@ def edited(text: Column, other: Column) -> Column:
 
 def fingerprint_pairs(docs: DataFrame) -> DataFrame:
     """Fingerprint of every document and of its edited text, with their likeness to it and to the next document."""
-    pairs = with_next(docs).withColumn("next", F.coalesce("next", F.struct("doc_id", "text", "sig")))
-    pairs = pairs.withColumn("edited", edited(F.col("text"), F.col("next.text"))).withColumn("edited_sig", signature(F.col("edited")))
-    return pairs.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+    row = ["part", "row", "again", "doc_id", "n_chars", "digest"]
+    pairs = with_next(docs).withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    pairs = pairs.select("part", "row", "again", "doc_id", F.length("text").cast("long").alias("n_chars"),
+                         F.unhex(F.sha2("edited", 256)).alias("digest"), "text", "edited")
+    of_text, of_edited = F.struct(F.lit(False).alias("is_edited"), "text"), F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text"))
+    both = pairs.select(*row, F.inline(F.when(F.col("again"), F.array(of_text)).otherwise(F.array(of_text, of_edited))))
+    samples_of = {name: F.sort_array(F.collect_list(F.when(F.col("is_edited") == is_edited, F.col("sample"))))
+                  for name, is_edited in (("sig", False), ("edited_sig", True))}
+    held = drawn(both, [*row, "is_edited"]).groupBy(*row).agg(*[c.alias(name) for name, c in samples_of.items()])
+    following = F.lead("sig").over(Window.partitionBy("part").orderBy("row"))
+    held = held.withColumn("next_sig", F.coalesce(following, F.col("sig"))).where("NOT again")
+    return held.select(
+        "doc_id", "n_chars", F.lower(F.hex("digest")).alias("edited_sha256"),
         _as_text(F.col("sig")).alias("fingerprint"), _as_text(F.col("edited_sig")).alias("edited_fingerprint"),
         likeness(F.col("sig"), F.col("edited_sig")).alias("near_edited"),
-        likeness(F.col("sig"), F.col("next.sig")).alias("near_next"))
+        likeness(F.col("sig"), F.col("next_sig")).alias("near_next"))
 
 
 def op7_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text."""
-    modest_batches(spark)
     return fingerprint_pairs(table(spark, sf_dir, "documents"))
