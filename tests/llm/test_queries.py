@@ -96,6 +96,37 @@ def test_a_grammar_is_opened_once():
         assert max(left.values(), default=0) < repair.LEAST_FREQUENCY
 
 
+@pytest.mark.parametrize("parts", [
+    [" a", " b", " "], [" a\n", " ", " b"], [" a\u00a0", " \u00a0b", " c"], [" a b", "c"], [" a\0 b", "c", ""], ["", " a"], [" ", " "], [" \x1cx", " y\x1f"],
+    [" a", "<|endoftext|>", " b"], [" \u0120x", " \u00c3\u0120"], ["a", "b"], [" x's", " 's", " 12ab", " \n", " \té"]])
+def test_joined_chunks_are_cut_where_they_were(library, parts):
+    """Ids of texts encoded in one call are those of each alone, cut at their spaces or, where those do not tell, at marks."""
+    encode = tokens.library_encoder(tokens.vocabulary())._encode
+    for some in (parts, parts[::-1], [" w", *parts] * 400):
+        assert encode(some) == [np.asarray(library.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in some]
+
+
+def test_chunks_with_one_space_need_no_marks(monkeypatch):
+    from tokenizers import Tokenizer
+
+    class Seen:
+        def __init__(self, tool):
+            self.tool, self.texts = tool, []
+
+        def __getattr__(self, name):
+            return getattr(self.tool, name)
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += texts
+            return self.tool.encode_batch_fast(texts, **options)
+
+    seen = Seen(Tokenizer.from_file(tokens.vocabulary()))
+    monkeypatch.setattr("tokenizers.Tokenizer", type("Loaded", (), {"from_file": staticmethod(lambda path: seen)}))
+    encode = tokens.library_encoder.__wrapped__(tokens.vocabulary())._encode
+    assert len(encode([" ab", " cd"] * 300)) == 600 and not any("<|endoftext|>" in t for t in seen.texts)
+    assert len(encode(["ab", " cd"])) == 2 and "<|endoftext|>" in seen.texts[-1]
+
+
 def test_a_chunk_is_looked_up_once_a_batch(library):
     class Counted(dict):
         looked = 0

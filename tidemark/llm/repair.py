@@ -44,7 +44,7 @@ class Grammar:
     lengths: np.ndarray  # tokens of each rule
 
 
-_SLOT_BITS = 18
+_SLOT_BITS = 17
 
 
 def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 CACHED_CHUNKS = 1_000_000  # a memory bound only: the chunks used last are kept, half of them for sure
 
-JOINED = 64
+JOINED = 256
 
 _SPACE = r"[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"  # of texts without control separators
 _RUN = rf"{_SPACE} (?:{_SPACE}|\z)"
@@ -54,17 +54,17 @@ class ChunkEncoder:
         recent, before = cache
         found = list(map(recent.get, wanted))
         holes = [i for i, ids in enumerate(found) if ids is None]
-        new = []
-        for i in holes:
-            found[i] = before.get(wanted[i])
-            if found[i] is None:
-                new.append(i)
-        for i, ids in zip(new, self._encode([lead + wanted[i] for i in new]), strict=True):
+        keys = [wanted[i] for i in holes]
+        fresh = list(map(before.get, keys)) if before else [None] * len(holes)
+        new = [j for j, ids in enumerate(fresh) if ids is None]
+        for j, ids in zip(new, self._encode([lead + keys[j] for j in new]), strict=True):
+            fresh[j] = ids
+        for i, ids in zip(holes, fresh):
             found[i] = ids
         if len(recent) + len(holes) > self._limit // 2:
             cache[:] = [{}, recent]
         if len(holes) <= self._limit // 2:
-            cache[0].update((wanted[i], found[i]) for i in holes)
+            cache[0].update(zip(keys, fresh))
         return found
 
     def _of_chunks(self, lists: pa.ListArray) -> list[bytes]:
@@ -108,16 +108,33 @@ def library_encoder(path: str) -> ChunkEncoder:
 
     tool = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as f:
-        special = [t["content"] for t in json.load(f)["added_tokens"]]
+        rules = json.load(f)
+    special = [t["content"] for t in rules["added_tokens"]]
+    whole_bytes = rules.get("normalizer") is None and (rules.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
+    spaced = np.zeros(tool.get_vocab_size(with_added_tokens=True), dtype=bool)  # tokens whose first byte is a space
+    for token, i in tool.get_vocab(with_added_tokens=False).items():
+        spaced[i] = whole_bytes and token.startswith("\u0120")
 
     def encode_many(texts: list[str]) -> list[bytes]:
-        """Many short texts in one call: the special token, whose id no other text gives, ends each."""
+        """Many short texts in one call: what starts with its only space is cut there again, else the special token,
+        whose id no other text gives, ends each."""
         if not special or any(s in "".join(texts) for s in special):
             return [np.asarray(e.ids, dtype="<u4").tobytes() for e in tool.encode_batch_fast(texts, add_special_tokens=False)]
         mark, out = tool.token_to_id(special[0]), []
-        for at in range(0, len(texts), JOINED):
-            joined = special[0].join([*texts[at:at + JOINED], ""])
-            ids = np.asarray(tool.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+        groups = [texts[at:at + JOINED] for at in range(0, len(texts), JOINED)]
+        listed = ["\0".join(some) for some in groups]
+        joined = pa.array([x.replace("\0", "") for x in listed], pa.large_string())
+        unsafe = pc.or_(pc.match_substring_regex(joined, _ODD), pc.match_substring_regex(joined, _RUN)).to_pylist()
+        for some, text, odd in zip(groups, listed, unsafe):
+            n = len(some)
+            spaces = text.count("\0") + 1 == text.count("\0 ") + 1 == text.count(" ") == n and text[0] == " "
+            if spaces and not odd:
+                ids = np.asarray(tool.encode_batch_fast([text.replace("\0", "")], add_special_tokens=False)[0].ids, dtype="<u4")
+                raw, starts = ids.tobytes(), (np.flatnonzero(spaced[ids]) * 4).tolist()
+                if len(starts) == n:
+                    out += [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)])]
+                    continue
+            ids = np.asarray(tool.encode_batch_fast([special[0].join([*some, ""])], add_special_tokens=False)[0].ids, dtype="<u4")
             raw, ends = ids.tobytes(), (np.flatnonzero(ids == mark) * 4).tolist()
             out += [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], ends)]
         return out
