@@ -289,3 +289,72 @@ def test_naming_rules_in_order(spark):
     df = spark.createDataFrame(rows, "cluster_id int, " + ", ".join(f"{c} double" for c in segments.INPUTS))
     got = {r.cluster_id: r.cluster_name for r in segments.name_segments(df, df, medians=medians).collect()}
     assert got == {i: f"{name} (C{i})" for i, (_, name) in enumerate(cases)}
+
+
+def test_boosting_in_a_task_of_several_blocks_is_that_of_a_job_a_level(ready, cut):
+    layout, fills, _ = ready
+    rules = trees.Boosting(rounds=trees.REFRESH + 2, step=0.2, depth=3, min_cover=1.0)
+    one = trees.boost(cut, layout, fills, 3, rules)  # few rows, so each model is one task although there are five blocks
+    many = trees.boost(cut, layout, fills, 3, rules, one_task=False)
+    for a, b in zip(one, many):
+        assert [shape(t) for t in a.trees] == [shape(t) for t in b.trees]
+        assert np.allclose(np.concatenate([t.value for t in a.trees]), np.concatenate([t.value for t in b.trees]))
+
+
+def test_forests_of_single_tasks_are_written_and_not_held_by_the_driver(ready, spark, tmp_path):
+    layout, fills, blocks = ready
+    b = blocks.first()
+    for columns, balanced in (("sqrt", True), (0.8, False)):
+        e = trees.grow_forests(blocks, layout, fills[-1:], 0, trees.Forest(4, 4, columns, balanced=balanced))[0]
+        assert isinstance(e.trees, trees.StoredTrees) and len(e.trees) == 4 and len(e.trees[3].column) > 10
+        modelling.TreeModel(e, "forest").write().save(str(tmp_path / str(columns)))
+        again = modelling.TreeModel.load(str(tmp_path / str(columns))).ensemble
+        assert isinstance(again.trees, trees.StoredTrees)
+        assert np.array_equal(again.of_codes(b.codes), e.of_codes(b.codes))
+
+
+def test_a_node_sees_the_sums_of_its_rows_in_every_form(ready):
+    """Counts side by side in one number, and plain sums where they do not fit, give the same tree."""
+    layout, fills, blocks = ready
+    b = blocks.first()
+    splitter = trees.Splitter(layout, trees.Growth(min_rows=4, columns_per_node="sqrt"))
+    count = trees.bootstrap_counts(b.key, 0, 42)
+    sizes = np.array([count[b.y == 0].sum(), count[b.y == 1].sum()])
+    grown = []
+    for kind in ("classes", "weights"):
+        held = trees._Rows(b.y, count, sizes)
+        if kind == "weights":
+            held.kind, weight = kind, trees.bootstrap_weights(count, b.y, sizes)
+            held.held = [np.ones(len(b.y)), weight, weight * b.y]
+        grown.append(trees._grow_here(trees._filled(b.codes, splitter, fills[-1].bins(layout)), held, splitter, fills[-1].bins(layout),
+                                      lambda paths: splitter.tries((42, 0), paths, "sqrt"), (0.0, 1.0), True))
+    assert shape(grown[0]) == shape(grown[1]) and np.allclose(grown[0].cover, grown[1].cover) and len(grown[0].column) > 20
+
+
+def test_drawn_columns_are_those_of_a_generator_for_each_node(ready):
+    splitter = trees.Splitter(ready[0], trees.Growth())
+    paths = np.array([1, 2, 3, 1 << 33, (1 << 63) - 5], np.uint64)
+    for seed in ((42, 7), (-1, 7)):
+        assert np.array_equal(splitter.tries(seed, paths, "sqrt"), [splitter.open_columns([*seed, int(p)], "sqrt") for p in paths])
+
+
+def test_short_and_long_paths_give_the_same_contributions(monkeypatch):
+    dice = np.random.default_rng(1)
+    x = dice.integers(0, 5, (60, 4)).astype(float)
+    paths = [(dice.normal(), [(int(f), float(dice.uniform(.1, .9)), (True, float(dice.integers(0, 5)), bool(dice.integers(2)))) for f in dice.integers(0, 4, 5)])
+             for _ in range(20)]
+    short, base = explain.shapley(x, paths)
+    monkeypatch.setattr(explain, "PATTERN_FEATURES", 0)
+    long, same = explain.shapley(x, paths)
+    assert np.allclose(short, long) and base == same
+
+
+def test_a_block_is_measured_in_slices(monkeypatch, spark):
+    x = np.random.default_rng(2).normal(size=(50, 10))
+    blocks = spark.sparkContext.parallelize([(np.arange(50, dtype=np.uint64), x)], 1)
+    starts = [x[:3], x[5:7]]
+    whole = segments.lloyd(blocks, [(3, 0), (2, 0)], starts)
+    assert segments.SLICE_ROWS * 810 * 8 < 30e6  # squares of a slice against the centres of 180 models
+    monkeypatch.setattr(segments, "SLICE_ROWS", 7)
+    for a, b in zip(whole, segments.lloyd(blocks, [(3, 0), (2, 0)], starts)):
+        assert np.allclose(a.points, b.points) and a.cost == pytest.approx(b.cost)
