@@ -43,6 +43,7 @@ OTHERWISE = "Core Mainstream"
 
 ITERATIONS, TOLERANCE = 300, 1e-4
 BLOCK_ROWS = 50_000
+SLICE_ROWS = 4_096  # rows of a block that are measured against the centres of all models at a time
 
 
 # --- standardisation --------------------------------------------------------------------------------------------------
@@ -164,7 +165,9 @@ def lloyd(blocks: RDD, models: Sequence[tuple[int, int]], starts: Sequence[np.nd
 
     def members(block: tuple, at: list[np.ndarray]) -> np.ndarray:
         """For each centre of the given models: members, their sum and their cost."""
-        x = block[1]
+        return sum(slice_members(block[1][i:i + SLICE_ROWS], at) for i in range(0, len(block[1]), SLICE_ROWS))
+
+    def slice_members(x: np.ndarray, at: list[np.ndarray]) -> np.ndarray:
         d = _squares(x, np.concatenate(at))
         out, first = [], 0
         for c in at:
