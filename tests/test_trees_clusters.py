@@ -311,6 +311,8 @@ def test_forests_of_single_tasks_are_written_and_not_held_by_the_driver(ready, s
         again = modelling.TreeModel.load(str(tmp_path / str(columns))).ensemble
         assert isinstance(again.trees, trees.StoredTrees)
         assert np.array_equal(again.of_codes(b.codes), e.of_codes(b.codes))
+        bare = trees.shared(e, bare=True)  # what is broadcast to score
+        assert np.array_equal(bare.of_codes(b.codes), e.of_codes(b.codes)) and sum(map(len, bare.trees.packed)) < sum(map(len, e.trees.held().packed))
 
 
 def test_a_node_sees_the_sums_of_its_rows_in_every_form(ready):
