@@ -264,3 +264,20 @@ def test_audit_records(bound):
 def test_quality_report_is_one_row(bound):
     rows = QUERIES["s04_quality_report"](bound).collect()
     assert len(rows) == 1 and rows[0].row_counts.customers == 150 and rows[0].orphan_customer_fk_counts.payments == 0
+
+
+def test_queries_in_slices_shuffle_no_vectors(spark):
+    """Many queries, few rows a slice: the same as brute force, and a task gives k rows a query whatever the number of blocks."""
+    dice = np.random.default_rng(5)
+    points = dice.integers(-3, 4, (300, 4)).astype(float)  # many equal similarities
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in enumerate(points)], "vec_id long, embedding array<double>").repartition(3)
+    got = retrieval.top_k_batch(df, df, k=5, broadcast_bytes=0, query_block=40, corpus_block=16)
+    assert "CoGroup" not in got._jdf.queryExecution().toString()
+    expected = {(q, int(i), rank + 1) for q in range(300) for rank, i in enumerate(np.lexsort((np.arange(300), -points @ points[q]))[:5])}
+    assert {(r["query_id"], r["id"], r["rank"]) for r in got.collect()} == expected
+    few = retrieval.top_k_batch(df.where("vec_id < 50"), df.where("vec_id < 3"), k=5, broadcast_bytes=0, query_block=20)
+    assert few.count() == 150
+    v = df.select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    one = retrieval._slice_top(df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q")), v, 5, 6, 40, 16,
+                               "query_id bigint, id bigint, similarity double")
+    assert one.count() <= 3 * 300 * 5
